@@ -1,0 +1,13 @@
+"""Size checks before anything is gathered in one task."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Rows of a few columns that one task can hold and sort with ease.
+ONE_TASK_ROWS = 1_000_000
+
+
+def fits_one_task(df: DataFrame, limit: int = ONE_TASK_ROWS) -> bool:
+    """Counts the rows; no column is read unless the plan filters or joins on it."""
+    return df.count() <= limit
