@@ -21,13 +21,18 @@ from mendwork.sources import readers, sinks
 OPTIONS = tx.Options(order_by=["k"], max_year=MAX_YEAR)
 
 
+def sized(spark, folder) -> tx.Options:
+    return OPTIONS.sized(table(spark, folder, "orders"))
+
+
 def cleansed(spark, folder) -> DataFrame:
-    return tx.cleanse(dirty(spark, folder), OPTIONS)
+    return tx.cleanse(dirty(spark, folder), sized(spark, folder))
 
 
 def transformed(spark, folder) -> DataFrame:
     """Cleansed, transformed and normalised, without the surrogate key."""
-    return tx.normalise_columns(tx.transform(cleansed(spark, folder), OPTIONS))
+    options = sized(spark, folder)
+    return tx.normalise_columns(tx.transform(tx.cleanse(dirty(spark, folder), options), options))
 
 
 # --- sources and sinks -------------------------------------------------------------
@@ -261,7 +266,7 @@ def _(spark, folder):
 @query("a_t5_transform_amount", DONE + """SELECT k, amount, amount_non_numeric_flag,
   amount_negative_flag, amount_numeric, amount_outlier_flag FROM done""")
 def _(spark, folder):
-    return tx.transform_amount(cleansed(spark, folder).select("k", "amount"), OPTIONS)
+    return tx.transform_amount(cleansed(spark, folder).select("k", "amount", "amount_number"), sized(spark, folder))
 
 
 _T6 = [
@@ -287,7 +292,7 @@ _T6 = [
 
 @query("a_t6_transformation_phase", DONE + unpivot_counts("done", _T6, ("metric", "value")))
 def _(spark, folder):
-    return tx.phase_counts(tx.transform(cleansed(spark, folder), OPTIONS))
+    return tx.phase_counts(tx.transform(cleansed(spark, folder), sized(spark, folder)))
 
 
 @query("a_t7_canonical_lookup", DIRTY + f""", r AS (
@@ -422,7 +427,7 @@ def _(spark, folder):
 SELECT k, round(CASE WHEN amount_numeric > 0 THEN amount_numeric ELSE med END, 4) AS amount_numeric,
   coalesce(amount_numeric, 0) <= 0 AS amount_numeric_imputed_flag FROM done, m""")
 def _(spark, folder):
-    staged = tx.transform_amount(cleansed(spark, folder).select("k", "amount"), OPTIONS)
+    staged = tx.transform_amount(cleansed(spark, folder).select("k", "amount", "amount_number"), sized(spark, folder))
     filled = impute.fill_median(staged, "amount_numeric", F.col("amount_numeric") > 0)
     return filled.select("k", F.round("amount_numeric", 4).alias("amount_numeric"), "amount_numeric_imputed_flag")
 
@@ -441,14 +446,15 @@ def _(spark, folder):
 
 @query("a_n2_amount_clean", DONE + "SELECT k, amount_clean FROM done")
 def _(spark, folder):
-    staged = tx.transform_amount(cleansed(spark, folder).select("k", "amount"), OPTIONS)
+    staged = tx.transform_amount(cleansed(spark, folder).select("k", "amount", "amount_number"), sized(spark, folder))
     return staged.select("k", F.when(~F.col("amount_outlier_flag"), F.col("amount_numeric")).alias("amount_clean"))
 
 
 @query("a_n3_normalisation_phase", DONE + """
 SELECT k, transaction_id, time_clean, date_clean, clock_time_clean, amount_clean FROM done""")
 def _(spark, folder):
-    frame = tx.normalise(tx.transform(cleansed(spark, folder), OPTIONS), OPTIONS)
+    options = sized(spark, folder)
+    frame = tx.after_cleansing(cleansed(spark, folder), options)
     return frame.select("k", "transaction_id", "time_clean", "date_clean", "clock_time_clean", "amount_clean")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, functions as F
@@ -9,25 +10,31 @@ from pyspark.sql import Column, functions as F
 from mendwork.functions.fixed_values import FALSE_TEXTS, NUMBER_WORDS, TRUE_TEXTS
 from mendwork.functions.text import strip
 
-# A guard is needed because a cast also takes texts such as 100d, 1f and nan.
-NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# The whole text must be a decimal number: a bare cast also takes 100d, 1f and nan.
+# Exponents end where doubles do.
+NUMBER_PATTERN = (
+    r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)"
+    r"([eE](-[0-9]+|\+?0*([0-9]{1,2}|[12][0-9]{2}|30[0-7])))?$"
+)
 
 
 def replace_words(text: Column, words: Mapping[str, str] = NUMBER_WORDS) -> Column:
     """Amounts written as words, in any case, become digits."""
-    result = text
     for word, digits in words.items():
-        result = F.when(F.lower(text) == word, F.lit(digits)).otherwise(result)
-    return result
+        text = F.regexp_replace(text, f"(?i)^{re.escape(word)}$", digits)
+    return text
 
 
 def to_number(text: Column, words: Mapping[str, str] | None = NUMBER_WORDS) -> Column:
-    """Text to double; NULL for whatever is not a finite decimal number."""
+    """Text to double; NULL for whatever is not a decimal number.
+
+    Mentions its input once, so that nested uses (two outlier passes, filters that
+    Catalyst pushes through projections) stay small.
+    """
     trimmed = strip(text)
     if words:
         trimmed = replace_words(trimmed, words)
-    number = trimmed.try_cast("double")
-    return F.when(trimmed.rlike(NUMBER_PATTERN) & (F.abs(number) < float("inf")), number)
+    return F.regexp_extract(trimmed, NUMBER_PATTERN, 0).try_cast("double")
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

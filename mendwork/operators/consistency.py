@@ -110,7 +110,7 @@ def comparison_summary(
     """Rows, format buckets and distinct values of two data sets.
 
     ``raw_kinds`` and ``norm_kinds`` map a check to its format class; a check given
-    as ``name/part`` adds up over its parts. ``values`` lists (check, raw column,
+    as ``name#part`` adds up over its parts. ``values`` lists (check, raw column,
     norm column) whose distinct values are counted.
     """
 
@@ -133,11 +133,11 @@ def comparison_summary(
     )
 
     def buckets(side: str, kinds: dict[str, Column], check: str) -> Column:
-        parts = [i for i, k in enumerate(kinds) if k.split("/")[0] == check]
+        parts = [i for i, k in enumerate(kinds) if k.split("#")[0] == check]
         return sum((F.col(f"{side}._k{i}") for i in parts[1:]), F.col(f"{side}._k{parts[0]}"))
 
     rows = [(F.lit("rows"), F.col("l._rows"), F.col("r._rows"))]
-    for check in dict.fromkeys(k.split("/")[0] for k in raw_kinds):
+    for check in dict.fromkeys(k.split("#")[0] for k in raw_kinds):
         rows.append(
             (F.lit(check), buckets("l", raw_kinds, check), buckets("r", norm_kinds, check))
         )

@@ -54,10 +54,9 @@ def fill_median(
     Adds ``<out>_imputed_flag``; the median is a scalar subquery.
     """
     out = out or number
-    good = F.col(number).isNotNull() & ~F.isnan(F.col(number).cast("double"))
+    kept = F.nanvl(F.col(number).cast("double"), F.lit(None).cast("double"))
     if valid is not None:
-        good = good & F.coalesce(valid, F.lit(False))
-    kept = F.when(good, F.col(number).cast("double"))
+        kept = F.when(valid, kept)
     median = exact_median(df, kept, one_task=one_task).select("median").scalar()
     flagged = df.withColumn(f"{out}_imputed_flag", kept.isNull())
     return flagged.withColumn(out, F.coalesce(kept, median))

@@ -44,13 +44,15 @@ def with_row_rank(
     order_by: Sequence[str],
     name: str,
     rows_per_slice: int = ONE_TASK_ROWS,
+    one_task: bool | None = None,
 ) -> DataFrame:
     """Add the dense position (from 1) of every row in the order of ``order_by``.
 
     The order columns should identify a row together; rows that tie on all of
-    them are numbered in no particular order.
+    them are numbered in no particular order. ``one_task`` saves the row count where
+    its outcome is known.
     """
-    if fits_one_task(df, rows_per_slice):
+    if fits_one_task(df, rows_per_slice) if one_task is None else one_task:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("long"))
 
     codes = [f"_c{i}" for i in range(len(order_by))]
@@ -110,8 +112,9 @@ def add_surrogate_key(
     name: str = "transaction_id",
     pattern: str | None = "TRX_%05d",
     rows_per_slice: int = ONE_TASK_ROWS,
+    one_task: bool | None = None,
 ) -> DataFrame:
     """Dense unique key in row order, ``TRX_00001`` upwards (plain number if no pattern)."""
-    ranked = with_row_rank(df, order_by, "_rank", rows_per_slice)
+    ranked = with_row_rank(df, order_by, "_rank", rows_per_slice, one_task)
     key = F.format_string(pattern, F.col("_rank")) if pattern else F.col("_rank")
     return ranked.select(*df.columns, key.alias(name))

@@ -33,9 +33,8 @@ def iqr_bounds(
     ``positive_abs`` takes the absolute values above zero, ``signed`` takes all.
     """
     x = measured(F.col(number) if isinstance(number, str) else number, population)
-    if population == POSITIVE_ABS:
-        x = F.when(x > 0, x)
-    q = exact_quantiles(df, x, [0.25, 0.75], by, one_task)
+    above = 0.0 if population == POSITIVE_ABS else None
+    q = exact_quantiles(df, x, [0.25, 0.75], by, one_task, above=above)
     spans = q.select(
         *by, "n", F.col("q0").alias("q1"), F.col("q1").alias("q3"), (F.col("q1") - F.col("q0")).alias("iqr")
     )
@@ -55,16 +54,21 @@ def with_outlier_flag(
     bounds: DataFrame | None = None,
     one_task: bool | None = None,
 ) -> DataFrame:
-    """Add a never-null flag. The bounds enter the plan as a scalar subquery, so the
-    rows are neither joined nor shuffled; without a population nothing is flagged."""
+    """Add a never-null flag.
+
+    Runs the job for the bounds at once and puts the two numbers into the plan, so
+    the rows are neither joined nor shuffled, and a second pass over the result does
+    not carry the first pass's plan inside its own. Without a population nothing is
+    flagged.
+    """
     number = F.col(number) if isinstance(number, str) else number
     if bounds is None:
         bounds = iqr_bounds(df, number, population, k, one_task=one_task)
+    lower, upper = bounds.select("lower", "upper").first()
+    if lower is None:
+        return df.withColumn(flag, F.lit(False))
     x = measured(number, population)
-    limits = bounds.select(F.struct("lower", "upper")).scalar()
-    staged = df.withColumn("_limits", limits)
-    outside = (x < F.col("_limits.lower")) | (x > F.col("_limits.upper"))
-    return staged.withColumn(flag, F.coalesce(outside, F.lit(False))).drop("_limits")
+    return df.withColumn(flag, F.coalesce((x < lower) | (x > upper), F.lit(False)))
 
 
 def null_outliers(

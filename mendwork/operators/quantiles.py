@@ -76,25 +76,31 @@ def exact_quantiles(
     by: Sequence[str] = (),
     one_task: bool | None = None,
     refine: int = 1,
+    above: float | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation, per group of ``by`` (or one row overall).
 
     Output: the ``by`` columns, ``n`` and one column ``q0``, ``q1``, … per
     probability. NULL and NaN are left out; an empty population gives NULLs.
     ``one_task`` says whether the rows may be gathered in one task; left unset, the
-    rows of ``df`` are counted to find out.
+    rows of ``df`` are counted to find out. Values not ``above`` a limit are left out.
     """
     source = F.col(value) if isinstance(value, str) else value
     keys = list(by)
-    rows = df.select(*keys, source.cast("double").alias("_v")).filter(
-        F.col("_v").isNotNull() & ~F.isnan("_v")
-    )
+    rows = df.select(*keys, source.cast("double").alias("_v"))
+    # NaN is the largest double, so this keeps neither NULL nor NaN.
+    kept = F.col("_v") < float("nan")
+    if above is not None:
+        kept = kept & (F.col("_v") > above)
     if fits_one_task(df) if one_task is None else one_task:
+        # Not as a filter: Catalyst would push it below the projection and read the
+        # value twice.
+        x = F.when(kept, F.col("_v"))
         found = rows.groupBy(*keys).agg(
-            F.count("*").alias("n"), F.percentile("_v", F.lit(list(probs))).alias("_q")
+            F.count(x).alias("n"), F.percentile(x, F.lit(list(probs))).alias("_q")
         )
         return found.select(*keys, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    return _quantiles_by_range(rows, probs, keys, refine)
+    return _quantiles_by_range(rows.filter(kept), probs, keys, refine)
 
 
 def _quantiles_by_range(

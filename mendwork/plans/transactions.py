@@ -1,14 +1,14 @@
 """Transactions: cleanse, transform, normalise, report.
 
-Every phase is DataFrame to DataFrame and adds only row-local columns; the two
-outlier passes enter as scalar subqueries and the only shuffle is that of the
-surrogate key.
+Every phase is DataFrame to DataFrame and adds only row-local columns. The bounds of
+the two outlier passes are found by jobs of their own that read the amount column
+alone; the only shuffle of whole rows is that of the surrogate key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -59,6 +59,10 @@ class Options:
     card_map: Mapping[str, str] = field(default_factory=lambda: CARD_MAP)
     city_map: Mapping[str, str] = field(default_factory=lambda: CITY_MAP)
 
+    def sized(self, df: DataFrame) -> Options:
+        """The same options with ``one_task`` settled by one row count."""
+        return self if self.one_task is not None else replace(self, one_task=fits_one_task(df))
+
 
 def strip_columns(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     return df.withColumns({c: strip(F.col(c).cast("string")) for c in columns})
@@ -67,7 +71,8 @@ def strip_columns(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataF
 def cleanse(df: DataFrame, options: Options) -> DataFrame:
     """Strip, salvage time texts, and null amount outliers.
 
-    Adds ``time_formatted_flag`` and ``amount_nulled_flag`` for the counts.
+    Adds ``time_formatted_flag`` and ``amount_nulled_flag`` for the counts, and
+    ``amount_number``, so that the amount is parsed once for all phases.
     """
     stripped = strip_columns(df)
     salvaged = stripped.withColumn(
@@ -76,10 +81,14 @@ def cleanse(df: DataFrame, options: Options) -> DataFrame:
     timed = salvaged.withColumn(
         "time_formatted_flag", F.col("_salvaged") != F.coalesce(F.col("time"), F.lit(""))
     ).withColumn("time", F.col("_salvaged")).drop("_salvaged")
+    numbered = timed.withColumn("amount_number", to_number(F.col("amount")))
     flagged = with_outlier_flag(
-        timed, to_number(F.col("amount")), "amount_nulled_flag", one_task=options.one_task
+        numbered, "amount_number", "amount_nulled_flag", one_task=options.one_task
+    )
+    kept = ~F.col("amount_nulled_flag")
+    return flagged.withColumns(
+        {c: F.when(kept, F.col(c)) for c in ("amount", "amount_number")}
     )
-    return flagged.withColumn("amount", F.when(~F.col("amount_nulled_flag"), F.col("amount")))
 
 
 def cleansing_counts(cleansed: DataFrame) -> DataFrame:
@@ -102,15 +111,17 @@ def transform_time(df: DataFrame, options: Options) -> DataFrame:
 
 def transform_amount(df: DataFrame, options: Options) -> DataFrame:
     """Flags, and ``amount_numeric``: the absolute value of whatever is a number."""
-    staged = df.withColumn("_number", to_number(F.col("amount")))
+    if "amount_number" not in df.columns:
+        df = df.withColumn("amount_number", to_number(F.col("amount")))
+    number = F.col("amount_number")
     there = ~is_missing_text(F.col("amount"), NullPolicy.BLANK)
-    flagged = staged.withColumns(
+    flagged = df.withColumns(
         {
-            "amount_non_numeric_flag": F.col("_number").isNull() & there,
-            "amount_negative_flag": F.coalesce(F.col("_number") < 0, F.lit(False)),
-            "amount_numeric": F.abs("_number"),
+            "amount_non_numeric_flag": number.isNull() & there,
+            "amount_negative_flag": F.coalesce(number < 0, F.lit(False)),
+            "amount_numeric": F.abs(number),
         }
-    ).drop("_number")
+    ).drop("amount_number")
     if options.passes < 2:
         return flagged.withColumn("amount_outlier_flag", F.lit(False))
     return with_outlier_flag(
@@ -182,7 +193,11 @@ def normalise_columns(df: DataFrame) -> DataFrame:
 
 
 def normalise(df: DataFrame, options: Options) -> DataFrame:
-    return add_surrogate_key(normalise_columns(df), options.order_by)
+    return _with_key(normalise_columns(df), options)
+
+
+def _with_key(df: DataFrame, options: Options) -> DataFrame:
+    return add_surrogate_key(df, options.order_by, one_task=options.one_task)
 
 
 @dataclass(frozen=True)
@@ -206,11 +221,10 @@ def after_cleansing(cleansed: DataFrame, options: Options) -> DataFrame:
 def run(df: DataFrame, options: Options) -> Reengineered:
     """All phases. The reports read the frame before the key is added: they need no order."""
     require_columns(df, EXPECTED_COLUMNS)
-    if options.one_task is None:
-        options = Options(**{**options.__dict__, "one_task": fits_one_task(df)})
+    options = options.sized(df)
     ready = normalise_columns(transform(cleanse(df, options), options))
     return Reengineered(
-        frame=add_surrogate_key(ready, options.order_by),
+        frame=_with_key(ready, options),
         summary=phase_counts(ready),
         issues=issue_counts(ready),
     )
