@@ -152,8 +152,9 @@ def _(spark, folder):
 @query("a_c2_parse_mixed_datetime", DIRTY + f"""
 SELECT k, time, strftime({parse_sql('trim(time)')}, '%Y-%m-%d %H:%M:%S') AS parsed FROM dirty""")
 def _(spark, folder):
-    parsed = datetimes.parse_mixed_datetime(F.col("time"), MAX_YEAR)
-    return dirty(spark, folder).select("k", "time", datetimes.iso_stamp(parsed).alias("parsed"))
+    df = dirty(spark, folder).select("k", "time")
+    parsed = datetimes.with_parsed_datetime(df, "time", "parsed", MAX_YEAR)
+    return parsed.withColumn("parsed", datetimes.iso_stamp(F.col("parsed")))
 
 
 @query("a_c3_first_valid_date", DIRTY + f"SELECT k, time, replace({DAY_SQL}, '/', '-') AS day FROM dirty")
@@ -170,9 +171,11 @@ def _(spark, folder):
 
 @query("a_c5_salvage_time_text", CLEAN + "SELECT k, time_text AS time, time_formatted FROM (SELECT *, time_text <> coalesce(time, '') AS time_formatted FROM salvaged)")
 def _(spark, folder):
-    text = datetimes.salvage_time_text(F.col("time"), MAX_YEAR)
-    staged = dirty(spark, folder).select("k", "time", text.alias("_new"))
-    changed = F.col("_new") != F.coalesce(F.trim("time"), F.lit(""))
+    df = tx.strip_columns(dirty(spark, folder).select("k", "time"), ["time"])
+    staged = datetimes.with_parsed_datetime(df, "time", "_stamp", MAX_YEAR, stripped=True)
+    text = datetimes.salvage_time_text(F.col("time"), MAX_YEAR, parsed=F.col("_stamp"))
+    staged = staged.withColumn("_new", text)
+    changed = F.col("_new") != F.coalesce("time", F.lit(""))
     return staged.select("k", F.col("_new").alias("time"), changed.alias("time_formatted"))
 
 
@@ -259,7 +262,7 @@ def _(spark, folder):
 
 @query("a_t4_transform_time", DONE + "SELECT k, time, time_clean AS time_parsed, time_valid_flag, time_invalid_flag FROM done")
 def _(spark, folder):
-    timed = tx.transform_time(cleansed(spark, folder).select("k", "time"), OPTIONS)
+    timed = tx.transform_time(cleansed(spark, folder).select("k", "time", "time_stamp"), OPTIONS)
     return timed.withColumn("time_parsed", datetimes.iso_stamp(F.col("time_parsed")))
 
 
@@ -436,7 +439,7 @@ def _(spark, folder):
 
 @query("a_n1_split_timestamp", DONE + "SELECT k, time_clean, date_clean, clock_time_clean FROM done")
 def _(spark, folder):
-    timed = tx.transform_time(cleansed(spark, folder).select("k", "time"), OPTIONS)
+    timed = tx.transform_time(cleansed(spark, folder).select("k", "time", "time_stamp"), OPTIONS)
     stamp = F.col("time_parsed")
     return timed.select(
         "k", datetimes.iso_stamp(stamp).alias("time_clean"),

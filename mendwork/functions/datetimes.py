@@ -1,13 +1,13 @@
 """Mixed date and clock texts.
 
-All layouts are recognised by shape (``rlike``) and then brought to
-``YYYY-MM-DD HH:MM:SS`` for a single ``try_cast``; that the value is a real date
-is left to the cast. The most frequent layout is tested first.
+Texts are recognised by shape and brought to the order ``YYYY-MM-DD HH:MM:SS`` for a
+single ``try_cast``, which decides whether that moment exists. The most frequent
+layout is tested first and needs one pattern and the cast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mendwork.functions.fixed_values import NULL_TOKEN
 from mendwork.functions.text import SPACES, ascii_digits, strip
@@ -19,15 +19,27 @@ LAST_MOMENT = "2262-04-11 23:47:16"
 
 _CLOCK = "[0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2})?"
 _DAY = "[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-_DAY_SLASHED = "[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
-
-DAY_FIRST = f"^{_DAY}(?: {_CLOCK})?$"
-CLOCK_FIRST = f"^({_CLOCK}){SPACES}({_DAY})$"
-DAY_FIRST_LOOSE = f"^(?:{_DAY}|{_DAY_SLASHED})(?:{SPACES}{_CLOCK})?$"
-HOUR_MINUTE_YEAR = f"^([0-9]{{1,2}})-([0-9]{{1,2}})-([0-9]{{4}}){SPACES}([0-9]{{1,2}})-([0-9]{{1,2}})$"
-MERIDIEM = (
-    f"(?i)^([0-9]{{1,2}})(?:{SPACES})?(am|pm){SPACES}([0-9]{{4}})/([0-9]{{2}})/([0-9]{{2}})$"
+_SLASHED = "([0-9]{4})/([0-9]{2})/([0-9]{2})"
+_MERIDIEM = f"(?:{SPACES})?(?:am|pm){SPACES}{_SLASHED}"
+
+# The layout that a cast reads as it stands (leap seconds aside).
+DAY_FIRST = f"^{_DAY}(?: [0-9]{{1,2}}:[0-9]{{1,2}}(?::[0-5]?[0-9])?)?$"
+ANY_DAY_FIRST = f"^{_DAY}(?: {_CLOCK})?$"
+
+# Every other layout, and how it is put in that order.
+REORDERED = (
+    (f"^({_CLOCK}){SPACES}({_DAY})$", "$2 $1"),
+    (f"^({_DAY}){SPACES}({_CLOCK})$", "$1 $2"),
+    (f"^([0-9]{{4}})/([0-9]{{1,2}})/([0-9]{{1,2}})$", "$1-$2-$3"),
+    (f"^([0-9]{{4}})/([0-9]{{1,2}})/([0-9]{{1,2}}){SPACES}({_CLOCK})$", "$1-$2-$3 $4"),
+    (
+        f"^([0-9]{{1,2}})-([0-9]{{1,2}})-([0-9]{{4}}){SPACES}([0-9]{{1,2}})-([0-9]{{1,2}})$",
+        "$3-$4-$5 $1:$2",
+    ),
+    (f"(?i)^(0?[1-9]|1[01]){_MERIDIEM}$", "$2-$3-$4 $1:00"),
+    (f"(?i)^12{_MERIDIEM}$", "$1-$2-$3 0:00"),
 )
+AFTERNOON = "(?i)^[0-9]+[^0-9]*pm"
 
 DATE_FRAGMENT = r"(?U)\b[0-9]{4}[/-][0-9]{2}[/-][0-9]{2}\b"
 CLOCK_FRAGMENT = r"(?U)\b[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\b"
@@ -41,12 +53,36 @@ def _year_cap(max_year: int | None) -> Column:
     return F.lit(max_year) if max_year is not None else F.year(F.current_date())
 
 
-def _stamp(text: Column) -> Column:
-    """``YYYY-MM-DD[ HH:MM[:SS]]`` to a timestamp; leap seconds 60 and 61 roll over."""
-    rolled = F.regexp_replace(text, ":6[01]$", ":59").try_cast("timestamp_ntz") + F.make_dt_interval(
-        secs=(F.right(text, F.lit(1)).try_cast("int") + 1).cast("decimal(18,6)")
+def day_first_text(text: Column, plain: Column) -> Column:
+    """A stripped text with its parts in the order ``YYYY-MM-DD[ HH:MM[:SS]]``, or ``''``.
+
+    ``plain`` tells that it is in that order already. Meridiem hours stay on the
+    12-hour clock.
+    """
+    ordered = text
+    for pattern, order in REORDERED:
+        ordered = F.regexp_replace(ordered, pattern, order)
+    return F.when(plain, text).otherwise(F.regexp_extract(ordered, ANY_DAY_FIRST, 0))
+
+
+def _stamp(day_first: Column) -> Column:
+    """Cast of a day-first text; leap seconds 60 and 61 roll over into the next minute."""
+    shift = F.make_dt_interval(
+        secs=F.when(day_first.rlike(":6[01]$"), 10).otherwise(0).cast("decimal(18,6)")
     )
-    return F.coalesce(text.try_cast("timestamp_ntz"), F.when(text.rlike(":[0-9]+:6[01]$"), rolled))
+    earlier = F.regexp_replace(day_first, ":6([01])$", ":5$1").try_cast("timestamp_ntz")
+    return F.coalesce(day_first.try_cast("timestamp_ntz"), earlier + shift)
+
+
+def _ordered_stamp(day_first: Column, text: Column, plain: Column) -> Column:
+    """The same for a reordered text, whose original tells the hours after noon."""
+    afternoon = F.make_dt_interval(hours=F.when(text.rlike(AFTERNOON), 12).otherwise(0))
+    return F.when(plain, day_first.try_cast("timestamp_ntz")).otherwise(_stamp(day_first) + afternoon)
+
+
+def _in_years(day_first: Column, max_year: int | None, min_year: int) -> Column:
+    last = F.lpad(_year_cap(max_year).cast("string"), 4, "0")
+    return F.left(day_first, F.lit(4)).between(F.lit(f"{min_year:04d}"), last)
 
 
 def parse_mixed_datetime(
@@ -54,44 +90,41 @@ def parse_mixed_datetime(
 ) -> Column:
     """Mixed text to TIMESTAMP_NTZ, NULL where no layout gives a real moment.
 
-    ``max_year`` defaults to the current year; pass it for repeatable results.
+    ``max_year`` defaults to the current year; pass it for repeatable results. For
+    large tables prefer ``with_parsed_datetime``, whose generated code is smaller.
     """
     t = strip(text)
-    local = ascii_digits(t)
-    cap = _year_cap(max_year)
-
-    def within(stamp: Column, first_year: int) -> Column:
-        return F.when(F.year(stamp).between(F.lit(first_year), cap), stamp)
+    plain = t.rlike(DAY_FIRST)
+    ordered = day_first_text(t, plain)
+    return F.when(_in_years(ordered, max_year, min_year), _ordered_stamp(ordered, t, plain))
+
+
+def with_parsed_datetime(
+    df: DataFrame,
+    column: str,
+    out: str,
+    max_year: int | None = None,
+    min_year: int = MIN_YEAR,
+    stripped: bool = False,
+) -> DataFrame:
+    """The same in steps, each of which is evaluated once per row.
+
+    As one expression the patterns would be repeated for every use of their result,
+    and the method generated for the stage would be too long for the JIT compiler.
+    """
+    staged = df.withColumn("_text", F.col(column) if stripped else strip(F.col(column)))
+    text, plain, ordered = F.col("_text"), F.col("_plain"), F.col("_ordered")
+    staged = staged.withColumn("_plain", text.rlike(DAY_FIRST))
+    staged = staged.withColumn("_ordered", day_first_text(text, plain))
+    inside = _in_years(ordered, max_year, min_year)
+    stamp = F.when(inside, _ordered_stamp(ordered, text, plain))
+    return staged.withColumn(out, stamp).drop("_text", "_plain", "_ordered")
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(local, MERIDIEM, group)
 
-    hour = part(1).try_cast("int")
-    hour24 = hour % 12 + F.when(F.lower(part(2)) == "pm", 12).otherwise(0)
-    meridiem = F.when(
-        hour.between(1, 12),
-        F.concat_ws("-", part(3), part(4), part(5)).try_cast("timestamp_ntz")
-        + F.make_dt_interval(hours=hour24),
-    )
-    spaced = F.regexp_replace(F.translate(t, "/", "-"), SPACES, " ")
-    return (
-        F.when(t.rlike(DAY_FIRST), within(_stamp(t), min_year))
-        .when(
-            t.rlike(CLOCK_FIRST),
-            within(_stamp(F.regexp_replace(t, CLOCK_FIRST, "$2 $1")), min_year),
-        )
-        .when(t.rlike(DAY_FIRST_LOOSE), within(_stamp(spaced), min_year))
-        .when(
-            local.rlike(HOUR_MINUTE_YEAR),
-            within(
-                F.regexp_replace(local, HOUR_MINUTE_YEAR, "$3-$4-$5 $1:$2").try_cast(
-                    "timestamp_ntz"
-                ),
-                1,
-            ),
-        )
-        .when(local.rlike(MERIDIEM), within(meridiem, 1))
-    )
+def parse_salvaged(text: Column) -> Column:
+    """The moment of a text that the salvage has put together (``HH:MM YYYY-MM-DD``)."""
+    swapped = F.concat_ws(" ", F.right(text, F.lit(10)), F.left(text, F.lit(5)))
+    return F.when(text.rlike(CLOCK_DAY_LAYOUT), swapped.try_cast("timestamp_ntz"))
 
 
 def first_valid_date(text: Column, max_year: int | None = None) -> Column:
@@ -112,16 +145,23 @@ def first_valid_clock(text: Column) -> Column:
 
 
 def salvage_time_text(
-    text: Column, max_year: int | None = None, min_year: int = MIN_YEAR
+    text: Column,
+    max_year: int | None = None,
+    min_year: int = MIN_YEAR,
+    parsed: Column | None = None,
 ) -> Column:
-    """Keep a text that parses; else keep what is usable of it and write NULL for the rest."""
-    t = strip(text)
+    """Keep a text that parses; else keep what is usable of it and write NULL for the rest.
+
+    Pass ``parsed`` if the text is already stripped and parsed.
+    """
+    t = strip(text) if parsed is None else text
+    parsed = parse_mixed_datetime(t, max_year, min_year) if parsed is None else parsed
     day = first_valid_date(t, max_year)
     clock = first_valid_clock(t)
     null = F.lit(NULL_TOKEN)
     return (
-        F.when(F.coalesce(t == "", F.lit(True)), null)
-        .when(parse_mixed_datetime(t, max_year, min_year).isNotNull(), t)
+        F.when(parsed.isNotNull(), t)
+        .when(F.coalesce(t == "", F.lit(True)), null)
         .when(
             day.isNotNull() & clock.isNotNull(),
             F.when(F.left(day, F.lit(4)).try_cast("int") >= min_year, F.concat_ws(" ", clock, day))

@@ -25,13 +25,15 @@ def replace_words(text: Column, words: Mapping[str, str] = NUMBER_WORDS) -> Colu
     return text
 
 
-def to_number(text: Column, words: Mapping[str, str] | None = NUMBER_WORDS) -> Column:
+def to_number(
+    text: Column, words: Mapping[str, str] | None = NUMBER_WORDS, stripped: bool = False
+) -> Column:
     """Text to double; NULL for whatever is not a decimal number.
 
     Mentions its input once, so that nested uses (two outlier passes, filters that
     Catalyst pushes through projections) stay small.
     """
-    trimmed = strip(text)
+    trimmed = text if stripped else strip(text)
     if words:
         trimmed = replace_words(trimmed, words)
     return F.regexp_extract(trimmed, NUMBER_PATTERN, 0).try_cast("double")

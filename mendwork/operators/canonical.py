@@ -20,11 +20,12 @@ def canonicalise(
     mapping: Mapping[str, str],
     out: str | None = None,
     flag: str | None = None,
+    stripped: bool = False,
 ) -> DataFrame:
     """Add the canonical value, and a flag for values that have none."""
     out, flag = out or f"{column}_clean", flag or f"{column}_invalid_flag"
-    staged = df.withColumn(out, canonical(F.col(column), mapping))
-    return staged.withColumn(flag, is_unmapped(F.col(column), F.col(out)))
+    staged = df.withColumn(out, canonical(F.col(column), mapping, stripped))
+    return staged.withColumn(flag, is_unmapped(F.col(column), F.col(out), stripped))
 
 
 def canonicalise_by_table(

@@ -13,6 +13,7 @@ from mendwork.functions.numeric import percent
 from mendwork.functions.text import strip
 from mendwork.operators.keys import with_row_rank
 from mendwork.operators.report import spread
+from mendwork.session import materialise
 
 
 def count_by(df: DataFrame, label: Column, name: str) -> DataFrame:
@@ -95,8 +96,10 @@ def side_by_side_values(
 ) -> DataFrame:
     """Sorted distinct values of two columns, aligned by position."""
     a, b = left_name or f"left_{left_column}", right_name or f"right_{right_column}"
-    x = with_row_rank(distinct_values(left, left_column, a), [a], "position")
-    y = with_row_rank(distinct_values(right, right_column, b), [b], "position")
+    x = with_row_rank(materialise(distinct_values(left, left_column, a), "values"), [a], "position")
+    y = with_row_rank(
+        materialise(distinct_values(right, right_column, b), "values"), [b], "position"
+    )
     return x.join(y, "position", "full_outer").select("position", a, b)
 
 
@@ -115,9 +118,12 @@ def comparison_summary(
     """
 
     def measure(df: DataFrame, kinds: dict[str, Column], columns: Sequence[tuple[str, str]]):
-        # count(DISTINCT) of several columns expands the rows; a few bounded format
-        # classes and one set per column keep it to a single pass.
-        sets = [F.count_distinct(kind).alias(f"_k{i}") for i, kind in enumerate(kinds.values())]
+        # The format classes are few, so their sets stay small in every task; only the
+        # values, which may be many, need the shuffle of a distinct count.
+        sets = [
+            F.size(F.collect_set(kind)).cast("long").alias(f"_k{i}")
+            for i, kind in enumerate(kinds.values())
+        ]
         uniques = [
             F.count_distinct(
                 F.when(~is_null_like(F.col(c).cast("string")), strip(F.col(c).cast("string")))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mendwork.functions.numeric import percent
 from mendwork.functions.text import strip
 from mendwork.operators.report import spread
+from mendwork.session import materialise
 
 
 def _id_text(df: DataFrame, column: str) -> Column:
@@ -78,12 +79,13 @@ def _row_hash(columns: Sequence[str]) -> Column:
 def _candidates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows whose 64-bit hash occurs again: all true repeats and a few others.
 
-    Only hashes are counted over the whole table; full rows are moved for the
-    candidates alone.
+    Only hashes are counted over the whole table. The repeated ones are written, so
+    that Spark broadcasts them if they are few and full rows move for the candidates
+    alone.
     """
     hashed = df.withColumn("_h", _row_hash(columns))
     repeated = hashed.groupBy("_h").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    return hashed.join(repeated.select("_h"), "_h", "left_semi")
+    return hashed.join(materialise(repeated.select("_h"), "hashes"), "_h", "left_semi")
 
 
 def duplicate_row_groups(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

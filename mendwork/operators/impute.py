@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mendwork.functions.nulls import NullPolicy, is_missing
 from mendwork.functions.numeric import round_to_step
 from mendwork.operators.quantiles import exact_median
+from mendwork.session import materialise
 
 
 def drop_critical(
@@ -51,15 +52,15 @@ def fill_median(
 ) -> DataFrame:
     """Replace missing or invalid numbers by the median of the valid ones.
 
-    Adds ``<out>_imputed_flag``; the median is a scalar subquery.
+    Adds ``<out>_imputed_flag``. The median is found by a job of its own.
     """
     out = out or number
     kept = F.nanvl(F.col(number).cast("double"), F.lit(None).cast("double"))
     if valid is not None:
         kept = F.when(valid, kept)
-    median = exact_median(df, kept, one_task=one_task).select("median").scalar()
+    median = exact_median(df, kept, one_task=one_task).select("median").first()[0]
     flagged = df.withColumn(f"{out}_imputed_flag", kept.isNull())
-    return flagged.withColumn(out, F.coalesce(kept, median))
+    return flagged.withColumn(out, F.coalesce(kept, F.lit(median).cast("double")))
 
 
 def reconstruct_price(
@@ -89,9 +90,12 @@ def dependency_table(df: DataFrame, given: Sequence[str], inferred: str) -> Data
 
 
 def infer_by_dependency(df: DataFrame, given: Sequence[str], inferred: str) -> DataFrame:
-    """Fill a missing column where the given columns determine it."""
+    """Fill a missing column where the given columns determine it.
+
+    The rules are written first, so that the join is planned with their real size.
+    """
     table = dependency_table(df, given, inferred).filter("is_unique")
-    rules = table.select(*given, F.col(inferred).alias("_rule"))
+    rules = materialise(table.select(*given, F.col(inferred).alias("_rule")), "rules")
     filled = df.join(rules, list(given), "left").withColumn(
         inferred, F.coalesce(F.col(inferred), F.col("_rule"))
     )
@@ -113,10 +117,10 @@ def fill_mode_hierarchy(df: DataFrame, value: str, levels: Sequence[Sequence[str
     filled, fallback = df, F.col(value)
     for i, by in enumerate(levels):
         if by:
-            table = most_frequent(df, value, by, f"_mode{i}")
+            table = materialise(most_frequent(df, value, by, f"_mode{i}"), "modes")
             filled = filled.join(table, list(by), "left")
             fallback = F.coalesce(fallback, F.col(f"_mode{i}"))
         else:
-            table = most_frequent(df, value, [], "_mode")
-            fallback = F.coalesce(fallback, table.scalar())
+            mode = most_frequent(df, value, [], "_mode").first()[0]
+            fallback = F.coalesce(fallback, F.lit(mode).cast(df.schema[value].dataType))
     return filled.withColumn(value, fallback).select(*df.columns)

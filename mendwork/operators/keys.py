@@ -15,7 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from mendwork.operators.quantiles import sub_range, value_range
-from mendwork.operators.sizing import ONE_TASK_ROWS, fits_one_task
+from mendwork.operators.sizing import ONE_TASK_ROWS
+
+# Bounds the tables of slices, which every task holds in memory.
+MAX_SLICES = 100_000
 
 
 def order_code(df: DataFrame, column: str) -> Column:
@@ -49,10 +52,15 @@ def with_row_rank(
     """Add the dense position (from 1) of every row in the order of ``order_by``.
 
     The order columns should identify a row together; rows that tie on all of
-    them are numbered in no particular order. ``one_task`` saves the row count where
-    its outcome is known.
+    them are numbered in no particular order. ``one_task=True`` saves the row count
+    where the rows are known to fit one task.
     """
-    if fits_one_task(df, rows_per_slice) if one_task is None else one_task:
+    rows_per_slice = max(rows_per_slice, 1)
+    if not one_task:
+        total = df.count()
+        one_task = total <= rows_per_slice
+        rows_per_slice = max(rows_per_slice, -(-total // MAX_SLICES))
+    if one_task:
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("long"))
 
     codes = [f"_c{i}" for i in range(len(order_by))]
@@ -79,9 +87,9 @@ def with_row_rank(
         table = rows.groupBy(*path).agg(
             F.ceil(F.count("*") / F.lit(rows_per_slice)).alias("_parts"), *ends
         )
-        # The first table has at most one row per coarse range, whatever the data;
-        # later ones grow with the row count, so their join strategy is left to AQE.
-        table = F.broadcast(table) if step == 1 else table
+        # One row per slice so far: at most the coarse ranges, which are bounded, and
+        # MAX_SLICES per step. Broadcast, so that the rows move once, to be numbered.
+        table = F.broadcast(table)
         name_k = f"_k{step}"
         piece = F.when(F.col("_parts") <= 1, F.lit(0))
         for i, code in enumerate(codes):
@@ -97,12 +105,11 @@ def with_row_rank(
         path = [*path, name_k]
 
     sizes = rows.groupBy(*path).agg(F.count("*").alias("_n"))
-    # One row per slice: total rows / rows_per_slice, plus the coarse ranges.
     starts = sizes.select(
         *path, (F.sum("_n").over(Window.orderBy(*path)) - F.col("_n")).alias("_start")
     )
     local = F.row_number().over(Window.partitionBy(*path).orderBy(*order_by))
-    numbered = rows.withColumn("_local", local).join(starts, path)
+    numbered = rows.withColumn("_local", local).join(F.broadcast(starts), path)
     return numbered.select(*df.columns, (F.col("_start") + F.col("_local")).alias(name))
 
 

@@ -10,6 +10,7 @@ from mendwork.functions.numeric import to_number
 from mendwork.functions.text import strip
 from mendwork.operators.quantiles import exact_quantiles
 from mendwork.operators.report import spread
+from mendwork.session import materialise
 
 POSITIVE_ABS = "positive_abs"
 SIGNED = "signed"
@@ -153,12 +154,12 @@ def stratified_outliers(
     population: str = POSITIVE_ABS,
     one_task: bool | None = None,
 ) -> DataFrame:
-    """Flag against the bounds of the row's own segment.
+    """Flag against the bounds of the row's own segment (NULL is a segment too).
 
-    The join is null-safe and unhinted: AQE broadcasts the bounds when they are
-    small and splits a segment that holds most of the rows when they are not.
+    The bounds are written first: small ones are broadcast, and with many segments
+    AQE splits one that holds most of the rows.
     """
-    bounds = iqr_bounds(df, number, population, by=by, one_task=one_task)
+    bounds = materialise(iqr_bounds(df, number, population, by=by, one_task=one_task), "bounds")
     renamed = bounds.select(*[F.col(c).alias(f"_b_{c}") for c in by], "lower", "upper")
     match = [df[c].eqNullSafe(renamed[f"_b_{c}"]) for c in by]
     x = measured(F.col(number), population)

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mendwork.operators.sizing import fits_one_task
+from mendwork.session import materialise
 
 # Ranges per power of two in the first histogram, and ranges per range afterwards.
 COARSE = 64
@@ -111,8 +112,10 @@ def _quantiles_by_range(
     rows = rows.withColumn("_r0", value_range(F.col("_v")))
 
     def joined(left: DataFrame, picked: DataFrame, on: Sequence[str]) -> DataFrame:
-        # At most two ranges per probability are picked when there are no groups.
-        small = picked if keys else F.broadcast(picked)
+        # At most two ranges per probability and group are picked. Without groups that
+        # is a fixed number; with groups the table is written, so that Spark can tell
+        # from its size whether to broadcast it.
+        small = materialise(picked, "ranges") if keys else F.broadcast(picked)
         renamed = small.select(
             *[F.col(k).alias(f"_p_{k}") for k in on],
             *[c for c in picked.columns if c not in on],

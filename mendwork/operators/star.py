@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mendwork.operators.keys import add_surrogate_key, with_row_rank
+from mendwork.session import materialise
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ def extract_dimension(
     """Distinct non-null values with ids in alphabetical order (``city_1``, ``city_2``, …)."""
     name = name or column
     values = df.select(F.col(column).alias(name)).filter(F.col(name).isNotNull()).distinct()
-    ranked = with_row_rank(values, [name], "_rank")
+    ranked = with_row_rank(materialise(values, "values"), [name], "_rank")
     ids = F.concat(F.lit(prefix), F.col("_rank").cast("string")).alias(id_name)
     return Dimension(ranked.select(ids, name), name, id_name)
 

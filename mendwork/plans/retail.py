@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from mendwork.functions.datetimes import iso_day, parse_mixed_datetime
+from mendwork.functions.datetimes import iso_day, with_parsed_datetime
 from mendwork.functions.numeric import to_boolean
 from mendwork.operators.canonical import snake_case_columns
 from mendwork.operators.impute import (
@@ -19,6 +19,7 @@ from mendwork.operators.impute import (
     reconstruct_total,
 )
 from mendwork.operators.star import star_schema
+from mendwork.session import materialise
 
 # Dimension column -> id column.
 DIMENSIONS = {
@@ -32,15 +33,16 @@ DIMENSIONS = {
 
 def add_date_parts(df: DataFrame, column: str, max_year: int | None = None) -> DataFrame:
     """ISO day, year and month of a date text."""
-    stamp = parse_mixed_datetime(F.col(column).cast("string"), max_year)
-    parsed = df.withColumn("_stamp", stamp)
+    parsed = with_parsed_datetime(
+        df.withColumn("_day", F.col(column).cast("string")), "_day", "_stamp", max_year
+    )
     return parsed.withColumns(
         {
             f"{column}_iso": iso_day(F.col("_stamp")),
             "transaction_year": F.year("_stamp"),
             "transaction_month": F.month("_stamp"),
         }
-    ).drop("_stamp")
+    ).drop("_day", "_stamp")
 
 
 def clean(df: DataFrame, max_year: int | None = None) -> DataFrame:
@@ -55,5 +57,9 @@ def clean(df: DataFrame, max_year: int | None = None) -> DataFrame:
 
 
 def star(cleaned: DataFrame, order_by: Sequence[str]) -> dict[str, DataFrame]:
-    """``fact_sales`` with ``row_id`` and the five dimensions."""
-    return star_schema(cleaned, DIMENSIONS, order_by, "row_id")
+    """``fact_sales`` with ``row_id`` and the five dimensions.
+
+    The cleaned wide table is an output in its own right, so it is written once;
+    the dimensions then each read one column instead of repeating the joins.
+    """
+    return star_schema(materialise(cleaned, "retail-wide"), DIMENSIONS, order_by, "row_id")

@@ -10,22 +10,23 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from mendwork.functions.datetimes import (
     MIN_YEAR,
+    datetime_status,
     iso_clock,
     iso_day,
     iso_stamp,
-    parse_mixed_datetime,
+    parse_salvaged,
     salvage_time_text,
+    with_parsed_datetime,
 )
 from mendwork.functions.fixed_values import CARD_MAP, CITY_MAP, STATUS_MAP
-from mendwork.functions.nulls import NullPolicy, is_missing, is_missing_text
+from mendwork.functions.nulls import NullPolicy, is_missing
 from mendwork.functions.numeric import to_number
 from mendwork.functions.text import strip
 from mendwork.operators.accuracy import amount_status
-from mendwork.functions.datetimes import datetime_status
 from mendwork.operators.canonical import canonicalise
 from mendwork.operators.duplicates import duplicate_row_summary, duplicated_rows_by_key
 from mendwork.operators.keys import add_surrogate_key
@@ -35,6 +36,7 @@ from mendwork.operators.quantiles import exact_median
 from mendwork.operators.report import spread
 from mendwork.operators.sizing import fits_one_task
 from mendwork.operators.star import Dimension, dimension_of_values, star_fact
+from mendwork.session import materialise
 from mendwork.sources.readers import EXPECTED_COLUMNS, require_columns
 from mendwork.sources.sinks import transformed_frame
 
@@ -72,16 +74,22 @@ def cleanse(df: DataFrame, options: Options) -> DataFrame:
     """Strip, salvage time texts, and null amount outliers.
 
     Adds ``time_formatted_flag`` and ``amount_nulled_flag`` for the counts, and
-    ``amount_number``, so that the amount is parsed once for all phases.
+    ``time_stamp`` and ``amount_number``, so that later phases need not parse again.
     """
-    stripped = strip_columns(df)
-    salvaged = stripped.withColumn(
-        "_salvaged", salvage_time_text(F.col("time"), options.max_year, options.min_year)
+    time = F.col("time")
+    parsed = with_parsed_datetime(
+        strip_columns(df), "time", "time_stamp", options.max_year, options.min_year, stripped=True
+    ).withColumn("amount_number", to_number(F.col("amount"), stripped=True))
+    salvaged = parsed.withColumn(
+        "_salvaged",
+        salvage_time_text(time, options.max_year, options.min_year, F.col("time_stamp")),
+    )
+    changed = F.col("_salvaged") != F.coalesce(time, F.lit(""))
+    numbered = (
+        salvaged.withColumn("time_formatted_flag", changed)
+        .withColumn("time", F.col("_salvaged"))
+        .drop("_salvaged")
     )
-    timed = salvaged.withColumn(
-        "time_formatted_flag", F.col("_salvaged") != F.coalesce(F.col("time"), F.lit(""))
-    ).withColumn("time", F.col("_salvaged")).drop("_salvaged")
-    numbered = timed.withColumn("amount_number", to_number(F.col("amount")))
     flagged = with_outlier_flag(
         numbered, "amount_number", "amount_nulled_flag", one_task=options.one_task
     )
@@ -101,20 +109,31 @@ def cleansing_counts(cleansed: DataFrame) -> DataFrame:
 
 
 def transform_time(df: DataFrame, options: Options) -> DataFrame:
-    parsed = df.withColumn(
-        "time_parsed", parse_mixed_datetime(F.col("time"), options.max_year, options.min_year)
-    )
+    if "time_stamp" in df.columns:
+        # The cleansing kept every text that parsed and put the salvaged ones in one layout.
+        stamp = F.coalesce(F.col("time_stamp"), parse_salvaged(F.col("time")))
+        parsed = df.withColumn("time_parsed", stamp).drop("time_stamp")
+    else:
+        parsed = with_parsed_datetime(
+            df, "time", "time_parsed", options.max_year, options.min_year, stripped=True
+        )
     valid = F.col("time_parsed").isNotNull()
-    there = ~is_missing_text(F.col("time"), NullPolicy.BLANK)
-    return parsed.withColumns({"time_valid_flag": valid, "time_invalid_flag": ~valid & there})
+    return parsed.withColumns(
+        {"time_valid_flag": valid, "time_invalid_flag": ~valid & _present("time")}
+    )
+
+
+def _present(column: str) -> Column:
+    """Neither NULL nor empty, for a column that is already stripped."""
+    return F.coalesce(F.col(column) != "", F.lit(False))
 
 
 def transform_amount(df: DataFrame, options: Options) -> DataFrame:
     """Flags, and ``amount_numeric``: the absolute value of whatever is a number."""
     if "amount_number" not in df.columns:
-        df = df.withColumn("amount_number", to_number(F.col("amount")))
+        df = df.withColumn("amount_number", to_number(F.col("amount"), stripped=True))
     number = F.col("amount_number")
-    there = ~is_missing_text(F.col("amount"), NullPolicy.BLANK)
+    there = _present("amount")
     flagged = df.withColumns(
         {
             "amount_non_numeric_flag": number.isNull() & there,
@@ -130,13 +149,13 @@ def transform_amount(df: DataFrame, options: Options) -> DataFrame:
 
 
 def transform(df: DataFrame, options: Options) -> DataFrame:
-    """Canonical values, parsed time and numeric amount, with their flags."""
+    """Canonical values, parsed time and numeric amount of a cleansed table, with flags."""
     for column, mapping in (
         ("status", options.status_map),
         ("card_type", options.card_map),
         ("city", options.city_map),
     ):
-        df = canonicalise(df, column, mapping)
+        df = canonicalise(df, column, mapping, stripped=True)
     return transform_amount(transform_time(df, options), options)
 
 
@@ -173,7 +192,7 @@ def phase_counts(frame: DataFrame) -> DataFrame:
         if column in frame.columns:
             counters.append(F.count_if(F.col(column).isNull()).alias(name))
     counters.append(
-        F.count_if(is_missing_text(F.col("time"), NullPolicy.BLANK)).alias("time_null_rows")
+        F.count_if(~_present("time")).alias("time_null_rows")
     )
     counts = frame.agg(*counters)
     return spread(counts, ["metric", "value"], [(F.lit(c), F.col(c)) for c in counts.columns])
@@ -218,11 +237,17 @@ def after_cleansing(cleansed: DataFrame, options: Options) -> DataFrame:
     return normalise(transform(cleansed, options), options)
 
 
-def run(df: DataFrame, options: Options) -> Reengineered:
-    """All phases. The reports read the frame before the key is added: they need no order."""
+def run(df: DataFrame, options: Options, save: bool = False) -> Reengineered:
+    """All phases. The reports read the frame before the key is added: they need no order.
+
+    With ``save`` the finished rows are written once to the shared folder, for runs
+    that use several of the results: the texts are then parsed only once.
+    """
     require_columns(df, EXPECTED_COLUMNS)
     options = options.sized(df)
     ready = normalise_columns(transform(cleanse(df, options), options))
+    if save:
+        ready = materialise(ready, "transactions")
     return Reengineered(
         frame=_with_key(ready, options),
         summary=phase_counts(ready),

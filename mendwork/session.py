@@ -13,7 +13,12 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Row counts from parquet footers.
     "spark.sql.parquet.aggregatePushdown": "true",
+    # The JIT compiler skips methods beyond 8000 bytes: rather split such a stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # No Python stack trace per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -46,21 +51,23 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder: on a cluster an
     executor could not read what another one wrote there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="mendwork-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="mendwork-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it back.
 
-    Cuts the lineage without computing the plan twice, keeps column pruning for
-    the readers, and survives the loss of executors.
+    Cuts the lineage without computing the plan twice, keeps column pruning for the
+    readers, and survives the loss of executors. It also lets Spark know the size of
+    an aggregated table before it plans a join: a small one is then broadcast and the
+    large side stays where it is, a large one is not.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
