@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from checks import cleaning, profiling, retail, validating  # noqa: F401
+from checks import cleaning, profiling, retail, streams, validating  # noqa: F401

@@ -69,7 +69,12 @@ def _amount(text: str) -> str:
 
 def dirty(spark: SparkSession, folder: str) -> DataFrame:
     """Dirty transactions derived from all orders; ``k`` is unique and gives the row order."""
-    orders = table(spark, folder, "orders").selectExpr(
+    return dirty_from(table(spark, folder, "orders"))
+
+
+def dirty_from(orders: DataFrame) -> DataFrame:
+    """The same from a table or a stream of orders."""
+    orders = orders.selectExpr(
         "o_orderkey AS k",
         "o_totalprice AS price",
         "o_orderdate + make_dt_interval(0, 0, 0, (o_orderkey * 7919) % 86400) AS t",
@@ -86,6 +91,12 @@ def dirty(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the tables as a file stream."""
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
 RAW_COLUMNS = ["id", "status", "time", "card_type", "city", "amount"]
 
 

@@ -55,14 +55,16 @@ def read_table(
 ) -> DataFrame:
     """Read csv, parquet, json or orc; CSV columns all come as text.
 
-    Without a policy an empty CSV field stays an empty text.
+    Without a policy an empty CSV field is an empty text.
     """
     reader = spark.read.format(fmt).options(**options)
     if fmt == "csv":
-        # Unquoted empty fields are read as NULL by default; keep them as blanks and let
-        # the policy decide.
-        reader = reader.options(header="true", inferSchema="false", nullValue="\u0000", emptyValue="")
-    return apply_null_policy(require_columns(reader.load(path), required), policy)
+        reader = reader.options(header="true", inferSchema="false")
+    df = require_columns(reader.load(path), required)
+    if fmt == "csv":
+        # Spark reads empty fields as NULL; whether they are missing is for the policy.
+        df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
+    return apply_null_policy(df, policy)
 
 
 def load_transactions(

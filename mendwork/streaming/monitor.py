@@ -22,8 +22,12 @@ def null_rate_by_window(
 
     On a stream the watermark bounds the state to the windows that are still open;
     on a batch it has no effect. All rows of a window meet as partial counts only.
+    Watermarks need a time with a zone: one without is read in the session's, which
+    should be UTC.
     """
-    source = df.withWatermark(time, watermark) if df.isStreaming else df
+    source, local = df, dict(df.dtypes)[time] == "timestamp_ntz"
+    if df.isStreaming:
+        source = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, watermark)
     flags = [
         F.count_if(is_missing(df, c, policy)).alias(f"{c}_null_rows") for c in columns
     ]
@@ -31,9 +35,10 @@ def null_rate_by_window(
         F.count("*").alias("row_count"), *flags
     )
     rates = [percent(F.col(f"{c}_null_rows"), F.col("row_count")).alias(f"{c}_null_pct") for c in columns]
+    kind = "timestamp_ntz" if local else "timestamp"
     return counts.select(
-        F.col("_w.start").alias("window_start"),
-        F.col("_w.end").alias("window_end"),
+        F.col("_w.start").cast(kind).alias("window_start"),
+        F.col("_w.end").cast(kind).alias("window_end"),
         "row_count",
         *[f"{c}_null_rows" for c in columns],
         *rates,
