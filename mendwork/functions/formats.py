@@ -14,17 +14,23 @@ from mendwork.functions.fixed_values import (
 )
 from mendwork.functions.nulls import is_null_like
 from mendwork.functions.numeric import to_number
-from mendwork.functions.text import strip
+from mendwork.functions.text import SPACES, strip
 
 Layouts = Sequence[tuple[str, str]]
 
 
+def _padded(pattern: str) -> str:
+    """The anchored pattern, in any case and with white space around it: so the text
+    need not be trimmed again for every layout that is tried."""
+    core = pattern.removeprefix("^").removesuffix("$")
+    return f"(?i)^(?:{SPACES}+)?(?:{core})(?:{SPACES})?\\z"
+
+
 def classify(text: Column, layouts: Layouts, other: str = "OTHER") -> Column:
     """Name of the first layout that matches; ``NULL/empty`` for null-like texts."""
-    t = strip(text)
     result = F.when(is_null_like(text), F.lit("NULL/empty"))
     for name, pattern in layouts:
-        result = result.when(t.rlike(f"(?i){pattern}"), F.lit(name))
+        result = result.when(text.rlike(_padded(pattern)), F.lit(name))
     return result.otherwise(F.lit(other))
 
 

@@ -7,7 +7,11 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from mendwork.functions.fixed_values import NA_TOKENS, NULL_TOKEN
-from mendwork.functions.text import strip
+from mendwork.functions.text import SPACES
+
+# White space is matched possessively, so that a long run of it is read only once.
+_BLANK = f"^(?:{SPACES}+)?\\z"
+_NULL_LIKE = f"(?i)^(?:{SPACES}+)?(?:{NULL_TOKEN}(?:{SPACES}+)?)?\\z"
 
 
 class NullPolicy(Enum):
@@ -25,10 +29,10 @@ def is_missing_text(text: Column, policy: NullPolicy = NullPolicy.NULL_LIKE) ->
         return text.isNull()
     if policy is NullPolicy.NA_TOKENS:
         return F.coalesce(text.isin(*NA_TOKENS), F.lit(True))
-    trimmed = strip(text)
-    if policy is NullPolicy.BLANK:
-        return F.coalesce(trimmed == "", F.lit(True))
-    return F.coalesce((trimmed == "") | (F.upper(trimmed) == NULL_TOKEN), F.lit(True))
+    # Anchored patterns give up at the first other character, where trimming would
+    # walk through a long text from both ends.
+    pattern = _BLANK if policy is NullPolicy.BLANK else _NULL_LIKE
+    return F.coalesce(text.rlike(pattern), F.lit(True))
 
 
 def is_null_like(text: Column) -> Column:

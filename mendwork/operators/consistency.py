@@ -26,9 +26,8 @@ def count_by(df: DataFrame, label: Column, name: str) -> DataFrame:
 
 def value_label(text: Column) -> Column:
     """The trimmed text, with labels for missing and blank ones."""
-    trimmed = strip(text)
-    return (
-        F.when(trimmed.isNull(), "<NULL>").when(trimmed == "", "<BLANK>").otherwise(trimmed)
+    return F.when(text.isNull(), "<NULL>").otherwise(
+        F.regexp_replace(strip(text), "^$", "<BLANK>")
     )
 
 

@@ -13,8 +13,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Row counts from parquet footers.
-    "spark.sql.parquet.aggregatePushdown": "true",
     # The JIT compiler skips methods beyond 8000 bytes: rather split such a stage.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # No Python stack trace per column expression.

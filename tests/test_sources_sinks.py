@@ -22,7 +22,7 @@ CSV = """id,status,time,card_type,city,amount,extra
 
 @pytest.fixture
 def csv_path(tmp_path):
-    path = tmp_path / "transaction.csv"
+    path = tmp_path / "raw.csv"
     path.write_text(CSV)
     return str(path)
 
