@@ -206,6 +206,53 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     return labels
 
 
+def predict(texts: list[bytes], model: Model | None, name: str, penalty: float, keep_spans: bool = False) -> tuple[list[str], list[float], list]:
+    """Languages, scores and spans of texts; ``name`` tells the model apart in the worker's memo."""
+    n = len(texts)
+    labels_out, scores_out, spans_out = ["und"] * n, [0.0] * n, [[] for _ in range(n)]
+    if model is None:
+        return labels_out, scores_out, spans_out
+    languages = model.languages
+    memo = worker_cache("language-words")
+    if memo.get("model") != name or len(memo["rows"]) > MEMO_WORDS:
+        memo.update(model=name, rows={}, scores=np.zeros((1, len(languages)), np.float32), letters=np.zeros(1, np.int64))
+    known = memo["rows"]
+    fresh: list[str] = []
+    numbers, lengths = [], []
+    for raw in texts:
+        words = raw.split()
+        for word in {w for w in words if w not in known}:
+            chars = letters_of(word.decode("utf-8"))
+            known[word] = len(memo["letters"]) + len(fresh) if chars else 0
+            if chars:
+                fresh.append(chars)
+        numbers.append(np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words)))
+        lengths.append(len(words))
+    if fresh:
+        memo["scores"] = np.concatenate([memo["scores"], model.word_scores(fresh)])
+        memo["letters"] = np.concatenate([memo["letters"], [len(w) for w in fresh]])
+    order = np.argsort(-np.array(lengths), kind="stable")
+    flat = np.concatenate([numbers[i] for i in order])
+    word_scores, sizes = memo["scores"][flat], memo["letters"][flat]
+    counts = np.array(lengths)[order]
+    labels = viterbi(word_scores, counts, penalty)
+    begin = 0
+    for i, length in zip(order.tolist(), counts.tolist(), strict=True):
+        own, weight = labels[begin : begin + length], sizes[begin : begin + length]
+        if weight.any():
+            best = int(np.bincount(own, weights=weight, minlength=len(languages)).argmax())
+            chance = np.exp(word_scores[begin : begin + length])
+            sure = (chance[:, best] / chance.sum(axis=1)) @ weight / weight.sum()
+            labels_out[i] = languages[best]
+            scores_out[i] = float(min(1.0, max(0.0, sure)))
+            if keep_spans:
+                edges = np.flatnonzero(np.diff(own)) + 1
+                firsts, ends = [0, *edges.tolist()], [*edges.tolist(), length]
+                spans_out[i] = [{"lang": languages[own[a]], "start": a, "words": b - a} for a, b in zip(firsts, ends, strict=True)]
+        begin += length
+    return labels_out, scores_out, spans_out
+
+
 def detect(
     docs: DataFrame,
     model: Model | None,
@@ -217,56 +264,14 @@ def detect(
     """(doc_id, lang_pred, score) for every row; with ``keep_spans`` also (lang, first word, words) per span.
 
     ``lang_pred`` is "und" where the text is missing or has no letter, and where there is no model; its score
-    is 0. Otherwise the score is the share of the language in the text's letters, weighted by how much better
-    its words' scores are than those of the other languages. Repeated rows and missing ids stay as they are.
+    is 0. Otherwise the score is the language's mean share of the words' likelihoods, weighted by letters.
+    Repeated rows and missing ids stay as they are; other columns are ignored.
     """
-    languages, name = model.languages if model else [], uuid.uuid4().hex
+    name = uuid.uuid4().hex
 
     def work(lists: dict[str, list]) -> dict[str, list]:
-        n = len(lists["text"])
-        out = {"doc_id": lists["doc_id"], "lang_pred": ["und"] * n, "score": [0.0] * n, "spans": [[] for _ in range(n)]}
-        if model is None:
-            return out
-        memo = worker_cache("language-words")
-        if memo.get("model") != name or len(memo["rows"]) > MEMO_WORDS:
-            memo.update(model=name, rows={}, scores=np.zeros((1, len(languages)), np.float32), letters=np.zeros(1, np.int64))
-        known = memo["rows"]
-        fresh: list[str] = []
-        numbers, lengths = [], []
-        for raw in lists["text"]:
-            words = raw.split()
-            for word in {w for w in words if w not in known}:
-                chars = letters_of(word.decode("utf-8"))
-                known[word] = len(memo["letters"]) + len(fresh) if chars else 0
-                if chars:
-                    fresh.append(chars)
-            numbers.append(np.fromiter((known[w] for w in words), dtype=np.int64, count=len(words)))
-            lengths.append(len(words))
-        order = np.argsort(-np.array(lengths), kind="stable")
-        flat = np.concatenate([numbers[i] for i in order])
-        if fresh:
-            memo["scores"] = np.concatenate([memo["scores"], model.word_scores(fresh)])
-            memo["letters"] = np.concatenate([memo["letters"], [len(w) for w in fresh]])
-        table, sizes = memo["scores"], memo["letters"]
-        word_scores = table[flat]
-        counts = np.array(lengths)[order]
-        labels = viterbi(word_scores, counts, penalty)
-        begin = 0
-        for i, length in zip(order.tolist(), counts.tolist(), strict=True):
-            own, weight = labels[begin : begin + length], sizes[flat[begin : begin + length]]
-            if weight.sum():
-                by = np.bincount(own, weights=weight, minlength=len(languages))
-                best = int(by.argmax())
-                mean = np.exp(word_scores[begin : begin + length][weight > 0])
-                sure = (mean[:, best] / mean.sum(axis=1)) @ weight[weight > 0] / weight.sum()
-                out["lang_pred"][i] = languages[best]
-                out["score"][i] = float(min(1.0, max(0.0, sure)))
-                if keep_spans:
-                    edges = np.flatnonzero(np.diff(own)) + 1
-                    firsts, ends = [0, *edges.tolist()], [*edges.tolist(), length]
-                    out["spans"][i] = [{"lang": languages[own[a]], "start": a, "words": b - a} for a, b in zip(firsts, ends, strict=True)]
-            begin += length
-        return out
+        labels, scores, spans = predict(lists["text"], model, name, penalty, keep_spans)
+        return {"doc_id": lists["doc_id"], "lang_pred": labels, "score": scores, "spans": spans}
 
     found = map_rows(
         docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), utf8(text_column).alias("text")),
@@ -277,6 +282,27 @@ def detect(
     return found if keep_spans else found.drop("spans")
 
 
+def keep_recognised(docs: DataFrame, model: Model | None, least: float = 0.3, penalty: float = SWITCH, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a recognised language whose score is at least ``least``; same columns.
+
+    Rows without text or letters go. Rows are filtered where they are read, so nothing is joined or moved.
+    """
+    name = uuid.uuid4().hex
+    at = docs.columns.index(text_column)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for begin in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(begin, SLICE_ROWS)
+                texts = [(t or "").encode("utf-8") for t in part.column(at).to_pylist()]
+                labels, scores, _ = predict(texts, model, name, penalty)
+                yield part.filter(pa.array([a != "und" and b >= least for a, b in zip(labels, scores, strict=True)]))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, learn_from: Column, bound: int = FIT_DOCUMENTS, penalty: float = SWITCH, **columns: str) -> DataFrame:
     """Fit on the rows where ``learn_from`` is true and predict every row."""
     names = {k: v for k, v in columns.items() if k != "lang_column"}

@@ -59,6 +59,14 @@ def build_tree(points: np.ndarray, leaf: int = LEAF, seed: int = 6) -> dict[str,
     return {"order": order, "nodes": np.array(nodes, dtype=np.float64).reshape(-1, 8)}
 
 
+def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Euclidean distances of all rows of ``left`` to all of ``right``, added up component by component."""
+    total = np.zeros((len(left), len(right)))
+    for i in range(left.shape[1]):
+        total += (left[:, i, None] - right[None, :, i]) ** 2
+    return np.sqrt(total)
+
+
 def search_tree(
     tree: dict[str, np.ndarray], points: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int, factor: float
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -71,11 +79,7 @@ def search_tree(
     found = np.full((len(queries), k), np.iinfo(np.int64).max)
 
     def offer(active: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        far = np.empty((len(active), len(rows)))
-        step = max(1, (1 << 20) // max(1, len(rows) * points.shape[1]))
-        for at in range(0, len(active), step):
-            some = queries[active[at : at + step]]
-            far[at : at + step] = np.sqrt(((some[:, None, :] - points[rows][None, :, :]) ** 2).sum(axis=2))
+        far = distances(queries[active], points[rows])
         names = np.broadcast_to(ids[rows], far.shape)
         own = names == query_ids[active][:, None]
         all_far = np.concatenate([best[active], np.where(own, np.inf, far)], axis=1)
