@@ -180,8 +180,9 @@ SQL: dict[str, str] = {
         WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
           AND len(list_filter(embedding, lambda x: x <> 0)) > 0
     ), pairs AS (
-        SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
-        FROM valid q JOIN valid c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(
+            list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])), lambda x, y: x + y)) AS score
+        FROM valid q JOIN valid c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
     ), ranked AS (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM pairs
     )
