@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from checks.base import (
@@ -16,23 +18,33 @@ from mendwork.operators import canonical as canon
 from mendwork.operators import impute, keys, outliers, star
 from mendwork.operators.report import spread
 from mendwork.plans import transactions as tx
+from mendwork.session import materialise, shared_folder
 from mendwork.sources import readers, sinks
 
 OPTIONS = tx.Options(order_by=["k"], max_year=MAX_YEAR)
 
 
-def sized(spark, folder) -> tx.Options:
-    return OPTIONS.sized(table(spark, folder, "orders"))
+def cleansed(spark, folder) -> DataFrame:
+    return tx.cleanse(dirty(spark, folder), OPTIONS)
 
 
-def cleansed(spark, folder) -> DataFrame:
-    return tx.cleanse(dirty(spark, folder), sized(spark, folder))
+def timed(spark, folder) -> DataFrame:
+    """Key and salvaged time; the amounts are not looked at."""
+    stripped = tx.strip_columns(dirty(spark, folder).select("k", "time"), ["time"])
+    return tx.cleanse_time(stripped, OPTIONS)
+
+
+def measured(spark, folder) -> DataFrame:
+    """Key and amount without outliers; the times are not looked at."""
+    stripped = tx.strip_columns(dirty(spark, folder).select("k", "amount"), ["amount"])
+    return tx.cleanse_amount(materialise(stripped, "amounts"))
 
 
 def transformed(spark, folder) -> DataFrame:
     """Cleansed, transformed and normalised, without the surrogate key."""
-    options = sized(spark, folder)
-    return tx.normalise_columns(tx.transform(tx.cleanse(dirty(spark, folder), options), options))
+    parsed = tx.parse_amount(tx.cleanse_time(tx.strip_columns(dirty(spark, folder)), OPTIONS))
+    rows = tx.null_amount_outliers(materialise(parsed, "transactions"))
+    return tx.normalise_columns(tx.transform(rows, OPTIONS))
 
 
 # --- sources and sinks -------------------------------------------------------------
@@ -46,6 +58,22 @@ def _(spark, folder):
     return readers.as_text(loaded)
 
 
+def place(spark, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+_NA = "'', 'NULL', 'null', 'NA', 'N/A', 'n/a', 'None', 'nan', 'NaN', '<NA>', '#N/A'"
+
+
+@query("a_s1_load_csv", DIRTY + "SELECT " + ", ".join(
+    f"CASE WHEN {c} NOT IN ({_NA}) THEN {c} END AS {c}" for c in RAW_COLUMNS) + " FROM dirty")
+def _(spark, folder):
+    path = place(spark, "raw")
+    sinks.write_csv(dirty(spark, folder).select("k", *RAW_COLUMNS), path)
+    return readers.load_transactions(spark, path).select(*RAW_COLUMNS)
+
+
 _POLICY_ROWS = [
     (
         f"'{c}'",
@@ -105,10 +133,12 @@ ids AS (SELECT city, 'city_' || row_number() OVER (ORDER BY city) AS city_id
 SELECT ids.city, city_id, count(*) AS row_count FROM named JOIN ids ON named.city = ids.city
 GROUP BY ALL""")
 def _(spark, folder):
-    lookup = tx.city_dimension(dirty(spark, folder), OPTIONS)
+    # The lookup is made from the data, written as a file and read again.
+    path = place(spark, "city")
     named = dirty(spark, folder).select(canonical(F.col("city"), CITY_MAP).alias("city"))
+    sinks.write_csv(star.extract_dimension(named, "city", "city_id", "city_").table, path)
     counts = named.groupBy("city").agg(F.count("*").alias("row_count"))
-    return counts.join(F.broadcast(lookup.table), "city")
+    return counts.join(readers.read_lookup(spark, path), "city")
 
 
 @query("b_s7_metadata_document", DONE + """, med AS (
@@ -125,13 +155,29 @@ def _(spark, folder):
     return document.withColumn("amount_global_median_used", F.round("amount_global_median_used", 4))
 
 
+def written_star(spark, folder) -> dict[str, DataFrame]:
+    """The star's tables, written to a folder each and read back."""
+    path = place(spark, "star")
+    tables = tx.star(tx.run(dirty(spark, folder), OPTIONS).frame, OPTIONS)
+    sinks.write_tables(tables, path)
+    return {name: readers.read_table(spark, f"{path}/{name}", "parquet", t.columns, policy=None) for name, t in tables.items()}
+
+
+@query("b_s8_tables_read_back", DONE + """
+SELECT transaction_id, status_clean AS status, date_clean AS date, clock_time_clean AS time,
+  card_type_clean AS card_type, city_clean AS city, amount_clean AS amount FROM done""")
+def _(spark, folder):
+    tables = written_star(spark, folder)
+    wide = tables["fact"].join(tables["card"], "card_id", "left").join(tables["city"], "city_id", "left")
+    return wide.select("transaction_id", "status", "date", "time", "card_type", "city", "amount")
+
+
 @query("b_s8_multi_table", DONE + """
 SELECT 'fact' AS table_name, count(*) AS row_count, 7::bigint AS column_count FROM done
 UNION ALL SELECT 'card', count(DISTINCT card_type_clean), 2 FROM done
 UNION ALL SELECT 'city', count(DISTINCT city_clean), 2 FROM done""")
 def _(spark, folder):
-    frame = tx.run(dirty(spark, folder), OPTIONS).frame
-    tables = tx.star(frame, OPTIONS)
+    tables = written_star(spark, folder)
     sizes = star.row_preservation(list(tables.items())).withColumnRenamed("stage", "table_name")
     widths = F.create_map(*[x for n, t in tables.items() for x in (F.lit(n), F.lit(len(t.columns)))])
     return sizes.withColumn("column_count", F.try_element_at(widths, F.col("table_name")).cast("long"))
@@ -262,14 +308,14 @@ def _(spark, folder):
 
 @query("a_t4_transform_time", DONE + "SELECT k, time, time_clean AS time_parsed, time_valid_flag, time_invalid_flag FROM done")
 def _(spark, folder):
-    timed = tx.transform_time(cleansed(spark, folder).select("k", "time", "time_stamp"), OPTIONS)
-    return timed.withColumn("time_parsed", datetimes.iso_stamp(F.col("time_parsed")))
+    done = tx.transform_time(timed(spark, folder).select("k", "time", "time_stamp"), OPTIONS)
+    return done.withColumn("time_parsed", datetimes.iso_stamp(F.col("time_parsed")))
 
 
 @query("a_t5_transform_amount", DONE + """SELECT k, amount, amount_non_numeric_flag,
   amount_negative_flag, amount_numeric, amount_outlier_flag FROM done""")
 def _(spark, folder):
-    return tx.transform_amount(cleansed(spark, folder).select("k", "amount", "amount_number"), sized(spark, folder))
+    return tx.transform_amount(measured(spark, folder).select("k", "amount", "amount_number"), OPTIONS)
 
 
 _T6 = [
@@ -295,7 +341,7 @@ _T6 = [
 
 @query("a_t6_transformation_phase", DONE + unpivot_counts("done", _T6, ("metric", "value")))
 def _(spark, folder):
-    return tx.phase_counts(tx.transform(cleansed(spark, folder), sized(spark, folder)))
+    return tx.phase_counts(tx.transform(cleansed(spark, folder), OPTIONS))
 
 
 @query("a_t7_canonical_lookup", DIRTY + f""", r AS (
@@ -430,7 +476,7 @@ def _(spark, folder):
 SELECT k, round(CASE WHEN amount_numeric > 0 THEN amount_numeric ELSE med END, 4) AS amount_numeric,
   coalesce(amount_numeric, 0) <= 0 AS amount_numeric_imputed_flag FROM done, m""")
 def _(spark, folder):
-    staged = tx.transform_amount(cleansed(spark, folder).select("k", "amount", "amount_number"), sized(spark, folder))
+    staged = tx.transform_amount(measured(spark, folder).select("k", "amount", "amount_number"), OPTIONS)
     filled = impute.fill_median(staged, "amount_numeric", F.col("amount_numeric") > 0)
     return filled.select("k", F.round("amount_numeric", 4).alias("amount_numeric"), "amount_numeric_imputed_flag")
 
@@ -439,9 +485,9 @@ def _(spark, folder):
 
 @query("a_n1_split_timestamp", DONE + "SELECT k, time_clean, date_clean, clock_time_clean FROM done")
 def _(spark, folder):
-    timed = tx.transform_time(cleansed(spark, folder).select("k", "time", "time_stamp"), OPTIONS)
+    done = tx.transform_time(timed(spark, folder).select("k", "time", "time_stamp"), OPTIONS)
     stamp = F.col("time_parsed")
-    return timed.select(
+    return done.select(
         "k", datetimes.iso_stamp(stamp).alias("time_clean"),
         datetimes.iso_day(stamp).alias("date_clean"), datetimes.iso_clock(stamp).alias("clock_time_clean"),
     )
@@ -449,15 +495,14 @@ def _(spark, folder):
 
 @query("a_n2_amount_clean", DONE + "SELECT k, amount_clean FROM done")
 def _(spark, folder):
-    staged = tx.transform_amount(cleansed(spark, folder).select("k", "amount", "amount_number"), sized(spark, folder))
+    staged = tx.transform_amount(measured(spark, folder).select("k", "amount", "amount_number"), OPTIONS)
     return staged.select("k", F.when(~F.col("amount_outlier_flag"), F.col("amount_numeric")).alias("amount_clean"))
 
 
 @query("a_n3_normalisation_phase", DONE + """
 SELECT k, transaction_id, time_clean, date_clean, clock_time_clean, amount_clean FROM done""")
 def _(spark, folder):
-    options = sized(spark, folder)
-    frame = tx.after_cleansing(cleansed(spark, folder), options)
+    frame = tx.after_cleansing(cleansed(spark, folder), OPTIONS)
     return frame.select("k", "transaction_id", "time_clean", "date_clean", "clock_time_clean", "amount_clean")
 
 
@@ -469,9 +514,9 @@ def _(spark, folder):
 @query("a_n4_surrogate_key_sliced", """
 SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_id FROM orders""")
 def _(spark, folder):
-    # A small slice size sends the query down the path that large tables take.
+    # More ranges than the tables' size asks for.
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    return keys.add_surrogate_key(orders, ["o_orderdate", "o_orderkey"], "row_id", None, rows_per_slice=5000)
+    return keys.add_surrogate_key(orders, ["o_orderdate", "o_orderkey"], "row_id", None, slices=24)
 
 
 @query("b_n5_extract_dimension", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.base import (
     CLEAN, DIRTY, DONE, RAW_COLUMNS, dirty, number_sql, query, raw, table, unpivot_counts,
 )
-from checks.cleaning import OPTIONS, cleansed, transformed
+from checks.cleaning import OPTIONS, cleansed, timed, transformed
 from mendwork.functions import formats
 from mendwork.functions.nulls import NullPolicy, is_null_like
 from mendwork.functions.numeric import to_number
@@ -170,6 +170,12 @@ def _(spark, folder):
     return accuracy.amount_accuracy_detail(dirty(spark, folder), "amount")
 
 
+@query("a_p10_invalid_amounts", DIRTY + f"SELECT k, amount FROM dirty WHERE {_AMOUNT} = 'invalid' ORDER BY k LIMIT 50")
+def _(spark, folder):
+    df = dirty(spark, folder).select("k", "amount")
+    return accuracy.status_examples(df, accuracy.amount_status(F.col("amount")), "invalid", ["k"])
+
+
 @query("a_p10_balance_accuracy", """SELECT s.status, count(c_custkey) AS row_count,
   round(count(c_custkey) / (SELECT count(*) FROM customer) * 100, 2) AS pct_of_total_rows
 FROM (VALUES ('valid'), ('invalid'), ('NULL')) s(status) LEFT JOIN customer
@@ -216,7 +222,7 @@ AMOUNT_CLASS = class_sql("amount", [("integer", r"-?\d+"), ("decimal", r"-?\d+\.
 
 @query("a_p12_classify_time", CLEAN + f"SELECT k, time, {TIME_CLASS} AS time_class FROM clean")
 def _(spark, folder):
-    df = cleansed(spark, folder)
+    df = timed(spark, folder)
     return df.select("k", "time", formats.classify_time(F.col("time")).alias("time_class"))
 
 
@@ -274,8 +280,7 @@ def _(spark, folder):
 
 @query("a_o1_iqr_bounds_by_range", _bounds_sql("value", "events", "value > 0"))
 def _(spark, folder):
-    # Forces the path for columns that do not fit one task.
-    return _rounded(outliers.iqr_bounds(table(spark, folder, "events"), "value", one_task=False))
+    return _rounded(outliers.iqr_bounds(table(spark, folder, "events"), "value"))
 
 
 @query("a_o1_quantiles_by_range_grouped", """SELECT l_returnflag, l_linestatus, count(*) AS n,
@@ -284,7 +289,7 @@ def _(spark, folder):
 def _(spark, folder):
     lines = table(spark, folder, "lineitem")
     by = ["l_returnflag", "l_linestatus"]
-    return _rounded(exact_quantiles(lines, "l_extendedprice", [0.1, 0.5, 0.99], by, one_task=False))
+    return _rounded(exact_quantiles(lines, "l_extendedprice", [0.1, 0.5, 0.99], by))
 
 
 @query("a_o2_iqr_report", CLEAN + f""", b AS ({_bounds_sql('number', 'parts', 'number IS NOT NULL')}),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from checks.base import query, table
@@ -10,6 +12,8 @@ from mendwork.operators import impute
 from mendwork.operators.completeness import structured_missingness
 from mendwork.plans import calorie
 from mendwork.plans import retail as plan
+from mendwork.session import shared_folder
+from mendwork.sources.sinks import write_document
 
 # Columns that read the same in Spark SQL and DuckDB. Items are priced 5.0, 6.5, 8.0, …
 # so that category and price determine the item.
@@ -172,6 +176,21 @@ def _(spark, folder):
     return stacked
 
 
+@query("b_s7_retail_audit", COUNTED + " SELECT column_name, filled_values, missing_values FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, (SELECT count(*) - count({c}) FROM sales) - (count(*) - count({c})) AS filled_values, count(*) - count({c}) AS missing_values FROM full_sales"
+    for c in plan.FILLED) + ")")
+def _(spark, folder):
+    wide = sales(spark, folder)
+    path = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
+    write_document(plan.audit_document(wide, plan.clean(wide)), path)
+    # Read back as the document it is.
+    schema = "rows long, filled_values map<string,long>, missing_values map<string,long>"
+    document = spark.read.schema(schema).json(path)
+    filled = document.select(F.explode("filled_values").alias("column_name", "filled_values"), "missing_values")
+    missing = F.try_element_at("missing_values", F.col("column_name"))
+    return filled.select("column_name", "filled_values", missing.alias("missing_values"))
+
+
 # --- calorie efficiency ------------------------------------------------------------
 
 _LABEL = "CASE WHEN event_id % 16 = 0 THEN 'High Efficiency' WHEN event_id % 16 = 1 THEN ' Moderate ' ELSE 'Low Efficiency' END"
@@ -217,3 +236,21 @@ def _(spark, folder):
     tables, _ = calorie.split(cleaned, ["event_id"], _GROUPS)
     # Put together again by their shared key: nothing may be lost or doubled.
     return tables["demographics"].join(tables["activity"], "record_id").join(tables["outcomes"], "record_id")
+
+
+@query("b_s7_calorie_audit", CALORIE + """
+SELECT count(*) AS rows, count(*) FILTER (rescaled) AS rescaled_rows, 0::bigint AS unmapped_label_rows, '1500' AS calories_burned,
+  'body_fat_pct' AS body_fat_percentage FROM cleaned""")
+def _(spark, folder):
+    wide = fitness(spark, folder)
+    cleaned = calorie.clean(wide, ["heart_rate"])
+    _, constants = calorie.split(cleaned, ["event_id"], _GROUPS)
+    path = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
+    write_document(calorie.audit_document(wide, constants), path)
+    schema = "rows long, rescaled_rows long, unmapped_label_rows long, renamed map<string,string>, dropped_constants map<string,string>"
+    document = spark.read.schema(schema).json(path)
+    return document.select(
+        "rows", "rescaled_rows", "unmapped_label_rows",
+        F.col("dropped_constants")["calories_burned"].alias("calories_burned"),
+        F.col("renamed")["body_fat_percentage"].alias("body_fat_percentage"),
+    )

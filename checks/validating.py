@@ -311,6 +311,33 @@ def _(spark, folder):
     return quality.scorecard(raw(spark, folder), "id", _CANONS)
 
 
+_SCORED = ["completeness", "consistency", "accuracy", "uniqueness", "validity"]
+_AFTER = ["transaction_id", "status_clean", "date_clean", "clock_time_clean", "card_type_clean", "city_clean", "amount_clean"]
+_CLEANED = ["status_clean", "card_type_clean", "city_clean"]
+
+
+@query("b_q14_scorecard_change", DONE + f""", old AS (SELECT (count(*) * 6 - ({_SCORE_MISS})) / (count(*) * 6) * 100 AS completeness,
+  (({_PRESENT}) - ({' + '.join(_outside(c) for c in _CANONS)})) / ({_PRESENT}) * 100 AS consistency,
+  count(*) FILTER ({_AMOUNT} = 'valid') / count(*) * 100 AS accuracy, count(DISTINCT id) / count(*) * 100 AS uniqueness,
+  count(*) FILTER ({_DT} = 'valid') / count(*) * 100 AS validity FROM dirty),
+new AS (SELECT ({' + '.join(f'count({c})' for c in _AFTER)}) / (count(*) * 7) * 100 AS completeness,
+  ({' + '.join(f'count({c})' for c in _CLEANED)}) / ({' + '.join(f'count({c})' for c in _CLEANED)}) * 100 AS consistency,
+  count(*) FILTER (amount_clean > 0) / count(*) * 100 AS accuracy, count(DISTINCT transaction_id) / count(*) * 100 AS uniqueness,
+  count(*) FILTER (date_clean IS NOT NULL AND clock_time_clean IS NOT NULL) / count(*) * 100 AS validity FROM done),
+scores AS (""" + " UNION ALL ".join(
+    f"SELECT '{d}' AS dimension, round(({o}), 2) AS before, round(({n}), 2) AS after FROM old, new" for d, o, n in [
+        *[(d, f"old.{d}", f"new.{d}") for d in _SCORED],
+        ("overall", *[f"({' + '.join(f'{side}.{d}' for d in _SCORED)}) / 5" for side in ("old", "new")])]) + """)
+SELECT *, round(after - before, 2) AS change FROM scores""")
+def _(spark, folder):
+    after = sinks.transformed_frame(tx.run(dirty(spark, folder), OPTIONS).frame).drop("id")
+    valid = F.col("date").isNotNull() & F.col("time").isNotNull()
+    return quality.scorecard_change(
+        quality.scorecard(raw(spark, folder), "id", _CANONS),
+        quality.scorecard(after, "transaction_id", _CANONS, valid=valid),
+    )
+
+
 _RESIDUAL = {"Unknown card_type (NULL)": "card_type_clean IS NULL", "Unknown city (NULL)": "city_clean IS NULL",
              "NULL date / time": "date_clean IS NULL", "NULL amount": "amount_clean IS NULL",
              "succeed mapped to success": "coalesce(lower(status) = 'succeed', false)"}

@@ -11,11 +11,7 @@ from mendwork.functions.fixed_values import FALSE_TEXTS, NUMBER_WORDS, TRUE_TEXT
 from mendwork.functions.text import strip
 
 # The whole text must be a decimal number: a bare cast also takes 100d, 1f and nan.
-# Exponents end where doubles do.
-NUMBER_PATTERN = (
-    r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)"
-    r"([eE](-[0-9]+|\+?0*([0-9]{1,2}|[12][0-9]{2}|30[0-7])))?$"
-)
+NUMBER_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def replace_words(text: Column, words: Mapping[str, str] = NUMBER_WORDS) -> Column:
@@ -28,7 +24,7 @@ def replace_words(text: Column, words: Mapping[str, str] = NUMBER_WORDS) -> Colu
 def to_number(
     text: Column, words: Mapping[str, str] | None = NUMBER_WORDS, stripped: bool = False
 ) -> Column:
-    """Text to double; NULL for whatever is not a decimal number.
+    """Text to double; NULL for whatever is not a decimal number or beyond what a double can hold.
 
     Mentions its input once, so that nested uses (two outlier passes, filters that
     Catalyst pushes through projections) stay small.
@@ -36,7 +32,8 @@ def to_number(
     trimmed = text if stripped else strip(text)
     if words:
         trimmed = replace_words(trimmed, words)
-    return F.regexp_extract(trimmed, NUMBER_PATTERN, 0).try_cast("double")
+    number = F.regexp_extract(trimmed, NUMBER_PATTERN, 0).try_cast("double")
+    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -67,9 +64,9 @@ def to_boolean(text: Column) -> Column:
 def float_text(x: Column) -> Column:
     """A double as plain text, ``100.0`` rather than ``1.0E2``, as in a CSV file."""
     plain = x.cast("string")
-    digits = F.rtrim(plain.try_cast("decimal(38,18)").cast("string"), F.lit("0"))
+    digits = F.rtrim(plain.try_cast("decimal(38,22)").cast("string"), F.lit("0"))
     spelled = F.when(F.endswith(digits, F.lit(".")), F.concat(digits, F.lit("0"))).otherwise(digits)
-    readable = (F.abs(x) >= 1e-3) & (F.abs(x) < 1e16)
+    readable = (F.abs(x) >= 1e-4) & (F.abs(x) < 1e16)
     return F.when(plain.contains("E") & readable, spelled).otherwise(plain)
 
 

@@ -12,6 +12,7 @@ from mendwork.functions.numeric import percent
 from mendwork.functions.text import snake_case, strip
 from mendwork.operators.consistency import distinct_values
 from mendwork.operators.report import spread
+from mendwork.operators.star import require_unique
 
 
 def canonicalise(
@@ -37,12 +38,13 @@ def canonicalise_by_table(
     out: str | None = None,
     flag: str | None = None,
 ) -> DataFrame:
-    """The same with the mapping held in a table (unique lower-case ``key``).
+    """The same with the mapping held in a table with a lower-case ``key``; a repeated key is an error.
 
     No broadcast hint: the table may grow, so AQE decides by its measured size and
     splits a spelling that most rows share if it has to shuffle.
     """
     out, flag = out or f"{column}_clean", flag or f"{column}_invalid_flag"
+    require_unique(lookup, key)
     table = lookup.select(F.col(key).alias("_key"), F.col(value).alias(out))
     joined = df.join(table, F.lower(strip(F.col(column))) == F.col("_key"), "left").drop("_key")
     return joined.withColumn(flag, is_unmapped(F.col(column), F.col(out)))

@@ -98,10 +98,10 @@ def duplicate_row_groups(df: DataFrame, columns: Sequence[str] | None = None) ->
 def duplicate_row_members(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The rows of ``df`` that have an identical twin on ``columns``."""
     columns = list(columns or df.columns)
-    groups = duplicate_row_groups(df, columns).select(
-        *[F.col(c).alias(f"_g_{c}") for c in columns]
-    )
-    candidates = _candidates(df, columns)
+    # The candidates are few; written once, they serve as rows and as groups.
+    candidates = materialise(_candidates(df, columns), "candidates")
+    counts = candidates.groupBy(*columns).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    groups = counts.select(*[F.col(c).alias(f"_g_{c}") for c in columns])
     match = [candidates[c].eqNullSafe(groups[f"_g_{c}"]) for c in columns]
     return candidates.join(groups, match, "left_semi").select(*df.columns)
 

@@ -48,7 +48,6 @@ def fill_median(
     number: str,
     valid: Column | None = None,
     out: str | None = None,
-    one_task: bool | None = None,
 ) -> DataFrame:
     """Replace missing or invalid numbers by the median of the valid ones.
 
@@ -58,7 +57,7 @@ def fill_median(
     kept = F.nanvl(F.col(number).cast("double"), F.lit(None).cast("double"))
     if valid is not None:
         kept = F.when(valid, kept)
-    median = exact_median(df, kept, one_task=one_task).select("median").first()[0]
+    median = exact_median(df, kept).select("median").first()[0]
     flagged = df.withColumn(f"{out}_imputed_flag", kept.isNull())
     return flagged.withColumn(out, F.coalesce(kept, F.lit(median).cast("double")))
 
@@ -109,18 +108,30 @@ def most_frequent(df: DataFrame, value: str, by: Sequence[str], out: str = "mode
     from gathering in one task.
     """
     pairs = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    return _mode(pairs, value, by, out)
+
+
+def _mode(pairs: DataFrame, value: str, by: Sequence[str], out: str) -> DataFrame:
     return pairs.groupBy(*by).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(out))
 
 
 def fill_mode_hierarchy(df: DataFrame, value: str, levels: Sequence[Sequence[str]]) -> DataFrame:
-    """Fill from the mode of the finest group that has one; an empty level is global."""
+    """Fill from the mode of the finest group that has one; an empty level is global.
+
+    The rows are counted once, by the columns of all levels; every level adds up from
+    that table.
+    """
     filled, fallback = df, F.col(value)
+    every = list(dict.fromkeys(c for by in levels for c in by))
+    known = df.filter(F.col(value).isNotNull())
+    counts = materialise(known.groupBy(*every, value).agg(F.count("*").alias("_n")), "counts")
     for i, by in enumerate(levels):
+        pairs = counts.groupBy(*by, value).agg(F.sum("_n").alias("_n"))
         if by:
-            table = materialise(most_frequent(df, value, by, f"_mode{i}"), "modes")
+            table = materialise(_mode(pairs, value, by, f"_mode{i}"), "modes")
             filled = filled.join(table, list(by), "left")
             fallback = F.coalesce(fallback, F.col(f"_mode{i}"))
         else:
-            mode = most_frequent(df, value, [], "_mode").first()[0]
+            mode = _mode(pairs, value, [], "_mode").first()[0]
             fallback = F.coalesce(fallback, F.lit(mode).cast(df.schema[value].dataType))
     return filled.withColumn(value, fallback).select(*df.columns)

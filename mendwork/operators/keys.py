@@ -1,116 +1,42 @@
 """Dense surrogate keys in row order.
 
-``row_number`` over the whole table sorts it in one task, so it is used only after
-a row count has shown that it fits. Beyond that a histogram of the leading order
-column cuts the rows into slices of bounded size, the slices are
-numbered one by one in parallel, and each slice starts where the ones before it
-end. Nothing is written to disk on the way and a lost task can simply be repeated,
-since the slice of a row depends on its values alone.
+One path for every size: the rows are cut into ranges of the whole order key, at
+boundaries that Spark samples, so the ranges have about equally many rows whatever
+the values are. They are written once together with the number of their range; the
+ranges are counted, and each is numbered on its own from where the ones before it
+end. No task holds more than a range, and a lost task is repeated from the table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
-from mendwork.operators.quantiles import sub_range, value_range
-from mendwork.operators.sizing import ONE_TASK_ROWS
-
-# Bounds the tables of slices, which every task holds in memory.
-MAX_SLICES = 100_000
-
-
-def order_code(df: DataFrame, column: str) -> Column:
-    """A double that never decreases along the column's sort order (ties allowed)."""
-    col, dtype = F.col(f"`{column}`"), df.schema[column].dataType
-    if isinstance(dtype, T.NumericType):
-        return col.cast("double")
-    if isinstance(dtype, T.BooleanType):
-        return col.cast("int").cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        clock = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return (F.unix_date(col.cast("date")) * 86400 + clock).cast("double")
-    if isinstance(dtype, T.StringType):
-        # The first six bytes as one number: strings sort by their UTF-8 bytes.
-        head = F.hex(F.substring(F.encode(col, "UTF-8"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"cannot order by {column}: {dtype.simpleString()}")
+from mendwork.session import materialise
 
 
 def with_row_rank(
-    df: DataFrame,
-    order_by: Sequence[str],
-    name: str,
-    rows_per_slice: int = ONE_TASK_ROWS,
-    one_task: bool | None = None,
+    df: DataFrame, order_by: Sequence[str], name: str, slices: int | None = None
 ) -> DataFrame:
     """Add the dense position (from 1) of every row in the order of ``order_by``.
 
-    The order columns should identify a row together; rows that tie on all of
-    them are numbered in no particular order. ``one_task=True`` saves the row count
-    where the rows are known to fit one task.
+    The order columns should identify a row together: rows that tie on all of them
+    share a range and are numbered in no particular order. ``slices`` is the number of
+    ranges; left unset, Spark's shuffle settings decide.
     """
-    rows_per_slice = max(rows_per_slice, 1)
-    if not one_task:
-        total = df.count()
-        one_task = total <= rows_per_slice
-        rows_per_slice = max(rows_per_slice, -(-total // MAX_SLICES))
-    if one_task:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)).cast("long"))
-
-    codes = [f"_c{i}" for i in range(len(order_by))]
-    coded = df.withColumns({code: order_code(df, c) for code, c in zip(codes, order_by)})
-    # NULLs sort first and NaN last, as in ORDER BY ... ASC.
-    lead = F.col(codes[0])
-    first = (
-        F.when(lead.isNull(), F.lit(-(2**31)))
-        .when(F.isnan(lead), F.lit(2**31 - 1))
-        .otherwise(value_range(lead))
-        .cast("int")
-    )
-    rows = coded.withColumn("_k0", first)
-    path = ["_k0"]
-
-    # One splitting step per order column: a slice whose first column is constant
-    # is split by the next one.
-    for step in range(1, len(order_by) + 1):
-        ends = [
-            end
-            for i, code in enumerate(codes)
-            for end in (F.min(code).alias(f"_lo{i}"), F.max(code).alias(f"_hi{i}"))
-        ]
-        table = rows.groupBy(*path).agg(
-            F.ceil(F.count("*") / F.lit(rows_per_slice)).alias("_parts"), *ends
-        )
-        # One row per slice so far: at most the coarse ranges, which are bounded, and
-        # MAX_SLICES per step. Broadcast, so that the rows move once, to be numbered.
-        table = F.broadcast(table)
-        name_k = f"_k{step}"
-        piece = F.when(F.col("_parts") <= 1, F.lit(0))
-        for i, code in enumerate(codes):
-            low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-            piece = piece.when(
-                high > low,
-                F.coalesce(sub_range(F.col(code), low, high, F.col("_parts")), F.lit(-1)),
-            )
-        kept = [c for c in rows.columns if c not in path]
-        rows = rows.join(table, path).select(
-            *path, piece.otherwise(F.lit(0)).cast("long").alias(name_k), *kept
-        )
-        path = [*path, name_k]
-
-    sizes = rows.groupBy(*path).agg(F.count("*").alias("_n"))
+    order = [F.col(f"`{c}`") for c in order_by]
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
+    rows = materialise(ranged.withColumn("_slice", F.spark_partition_id()), "ranked")
+    # One row per range.
+    sizes = rows.groupBy("_slice").agg(F.count("*").alias("_n"))
     starts = sizes.select(
-        *path, (F.sum("_n").over(Window.orderBy(*path)) - F.col("_n")).alias("_start")
+        "_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_start")
     )
-    local = F.row_number().over(Window.partitionBy(*path).orderBy(*order_by))
-    numbered = rows.withColumn("_local", local).join(F.broadcast(starts), path)
-    return numbered.select(*df.columns, (F.col("_start") + F.col("_local")).alias(name))
+    local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
+    numbered = rows.withColumn("_local", local).join(F.broadcast(starts), "_slice")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return numbered.select(*columns, (F.col("_start") + F.col("_local")).alias(name))
 
 
 def add_surrogate_key(
@@ -118,10 +44,9 @@ def add_surrogate_key(
     order_by: Sequence[str],
     name: str = "transaction_id",
     pattern: str | None = "TRX_%05d",
-    rows_per_slice: int = ONE_TASK_ROWS,
-    one_task: bool | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Dense unique key in row order, ``TRX_00001`` upwards (plain number if no pattern)."""
-    ranked = with_row_rank(df, order_by, "_rank", rows_per_slice, one_task)
+    ranked = with_row_rank(df, order_by, "_rank", slices)
     key = F.format_string(pattern, F.col("_rank")) if pattern else F.col("_rank")
-    return ranked.select(*df.columns, key.alias(name))
+    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], key.alias(name))

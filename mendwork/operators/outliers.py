@@ -27,7 +27,6 @@ def iqr_bounds(
     population: str = POSITIVE_ABS,
     k: float = 1.5,
     by: Sequence[str] = (),
-    one_task: bool | None = None,
 ) -> DataFrame:
     """n, q1, q3, iqr, lower and upper bound; one row, or one per group of ``by``.
 
@@ -35,7 +34,7 @@ def iqr_bounds(
     """
     x = measured(F.col(number) if isinstance(number, str) else number, population)
     above = 0.0 if population == POSITIVE_ABS else None
-    q = exact_quantiles(df, x, [0.25, 0.75], by, one_task, above=above)
+    q = exact_quantiles(df, x, [0.25, 0.75], by, above=above)
     spans = q.select(
         *by, "n", F.col("q0").alias("q1"), F.col("q1").alias("q3"), (F.col("q1") - F.col("q0")).alias("iqr")
     )
@@ -53,7 +52,6 @@ def with_outlier_flag(
     population: str = POSITIVE_ABS,
     k: float = 1.5,
     bounds: DataFrame | None = None,
-    one_task: bool | None = None,
 ) -> DataFrame:
     """Add a never-null flag.
 
@@ -64,7 +62,7 @@ def with_outlier_flag(
     """
     number = F.col(number) if isinstance(number, str) else number
     if bounds is None:
-        bounds = iqr_bounds(df, number, population, k, one_task=one_task)
+        bounds = iqr_bounds(df, number, population, k)
     lower, upper = bounds.select("lower", "upper").first()
     if lower is None:
         return df.withColumn(flag, F.lit(False))
@@ -77,13 +75,12 @@ def null_outliers(
     column: str,
     passes: int = 1,
     population: str = POSITIVE_ABS,
-    one_task: bool | None = None,
 ) -> DataFrame:
     """Set outliers to NULL; with two passes the bounds are taken again on what is left."""
     kind = df.schema[column].dataType.simpleString()
     for _ in range(passes):
         number = to_number(F.col(column)) if kind == "string" else F.col(column)
-        flagged = with_outlier_flag(df, number, "_outlier", population, one_task=one_task)
+        flagged = with_outlier_flag(df, number, "_outlier", population)
         df = flagged.withColumn(
             column, F.when(~F.col("_outlier"), F.col(column))
         ).drop("_outlier")
@@ -91,11 +88,11 @@ def null_outliers(
 
 
 def iqr_report(
-    df: DataFrame, number: str | Column, population: str = SIGNED, one_task: bool | None = None
+    df: DataFrame, number: str | Column, population: str = SIGNED
 ) -> DataFrame:
     """The bounds and the number of rows outside and inside them."""
     number = F.col(number) if isinstance(number, str) else number
-    bounds = iqr_bounds(df, number, population, one_task=one_task)
+    bounds = iqr_bounds(df, number, population)
     flagged = with_outlier_flag(df, number, "_out", population, bounds=bounds)
     inside = ~F.col("_out") & number.isNotNull()
     counts = flagged.agg(
@@ -112,19 +109,18 @@ def outlier_samples(
     order_by: Sequence[str],
     n: int = 50,
     population: str = SIGNED,
-    one_task: bool | None = None,
 ) -> DataFrame:
-    flagged = with_outlier_flag(df, number, "_out", population, one_task=one_task)
+    flagged = with_outlier_flag(df, number, "_out", population)
     return flagged.filter("_out").drop("_out").orderBy(*order_by).limit(n)
 
 
 def status_outlier_crosstab(
-    df: DataFrame, column: str, one_task: bool | None = None
+    df: DataFrame, column: str
 ) -> DataFrame:
     """Amount status by outlier status, every cell present, in one aggregate."""
     text = strip(F.col(column))
     staged = df.select(text.alias("_t"), to_number(text).alias("_x"))
-    flagged = with_outlier_flag(staged, "_x", "_out", POSITIVE_ABS, one_task=one_task)
+    flagged = with_outlier_flag(staged, "_x", "_out", POSITIVE_ABS)
     status = (
         F.when((F.abs("_x") > 0) & ~F.col("_out"), "valid")
         .when(F.coalesce(F.col("_t") == "", F.lit(True)), "NULL")
@@ -152,14 +148,13 @@ def stratified_outliers(
     by: Sequence[str],
     flag: str = "outlier_flag",
     population: str = POSITIVE_ABS,
-    one_task: bool | None = None,
 ) -> DataFrame:
     """Flag against the bounds of the row's own segment (NULL is a segment too).
 
     The bounds are written first: small ones are broadcast, and with many segments
     AQE splits one that holds most of the rows.
     """
-    bounds = materialise(iqr_bounds(df, number, population, by=by, one_task=one_task), "bounds")
+    bounds = materialise(iqr_bounds(df, number, population, by=by), "bounds")
     renamed = bounds.select(*[F.col(c).alias(f"_b_{c}") for c in by], "lower", "upper")
     match = [df[c].eqNullSafe(renamed[f"_b_{c}"]) for c in by]
     x = measured(F.col(number), population)

@@ -140,13 +140,17 @@ def scorecard(
     domains: Mapping[str, Sequence[str]],
     amount: str = "amount",
     time: str = "time",
+    valid: Column | None = None,
 ) -> DataFrame:
     """Five ratios in percent and their mean: our own formula, since none is published.
 
     completeness: cells that are not null-like; consistency: present values in
     canonical spelling; accuracy: amounts above zero; uniqueness: distinct keys per
-    row; validity: times that are a real moment in an accepted layout.
+    row; validity: times that are a real moment in an accepted layout, or what ``valid``
+    says where a table holds date and clock apart.
     """
+    if valid is None:
+        valid = datetime_status(F.col(time)) == "valid"
     rows = F.count("*")
     missing = sum(
         (F.count_if(is_missing_text(F.col(c).cast("string"))) for c in df.columns[1:]),
@@ -163,7 +167,7 @@ def scorecard(
         sum(present[1:], present[0]).alias("_present"),
         sum(proper[1:], proper[0]).alias("_proper"),
         F.count_if(amount_status(F.col(amount)) == "valid").alias("_amount"),
-        F.count_if(datetime_status(F.col(time)) == "valid").alias("_time"),
+        F.count_if(valid).alias("_time"),
     ).withColumn("_keys", key_uniqueness(df, key).select("distinct_values").scalar())
 
     def share(part: Column, whole: Column) -> Column:
@@ -182,3 +186,11 @@ def scorecard(
     mean = sum((F.col(c) for c in names[1:]), F.col(names[0])) / len(names)
     lines = [(F.lit(c), F.round(F.col(c), 2)) for c in names]
     return spread(scores, ["dimension", "score"], [*lines, (F.lit("overall"), F.round(mean, 2))])
+
+
+def scorecard_change(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Two scorecards side by side with the change per dimension."""
+    old = before.select("dimension", F.col("score").alias("before"))
+    new = after.select("dimension", F.col("score").alias("after"))
+    change = F.round(F.col("after") - F.col("before"), 2).alias("change")
+    return old.join(new, "dimension").select("dimension", "before", "after", change)

@@ -1,27 +1,25 @@
-"""Exact quantiles, also of columns too large for one task.
-
-``percentile`` keeps every distinct value of a group in one task, so it is used
-only after a row count has shown that they fit. Beyond that the rank is found by
-narrowing: a histogram over coarse value ranges tells which range holds the wanted
-rank, a second histogram splits that range, and only the distinct values of the
-small remaining range are sorted. Each step is a scan of one column with a
-map-side combined count, so a value held by a third of all rows costs one counter
-per task.
+"""Exact quantiles of columns of any size, by one path.
+
+The wanted rank is found by narrowing: a histogram over coarse value ranges tells which
+range holds it, further histograms split that range until few rows are left in it, and
+only the distinct values of that small range are sorted. Each step is a scan of one
+column with a map-side combined count, so a value held by a third of all rows costs one
+counter per task. How often a range is split depends on its count alone.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mendwork.operators.sizing import fits_one_task
 from mendwork.session import materialise
 
 # Ranges per power of two in the first histogram, and ranges per range afterwards.
 COARSE = 64
 FINE = 65536
+# A range with more distinct values than that is split again: what one task sorts.
+RANGE_ROWS = 100_000
 
 
 def value_range(x: Column) -> Column:
@@ -42,8 +40,8 @@ def value_range(x: Column) -> Column:
 
 
 def sub_range(x: Column, low: Column, high: Column, parts: Column) -> Column:
-    """Which of ``parts`` equal slices of [low, high] holds ``x``."""
-    share = (x - low) / (high - low)
+    """Which of ``parts`` equal slices of [low, high] holds ``x``; the same for halves of huge spans."""
+    share = (x / 2 - low / 2) / (high / 2 - low / 2)
     return F.when(high > low, F.least(F.floor(share * parts), parts - 1)).otherwise(F.lit(0)).cast("long")
 
 
@@ -70,53 +68,43 @@ def _narrow(level: DataFrame, parents: Sequence[str], order: str) -> DataFrame:
     return level.select("*", upto).withColumn("_want", moved).filter(F.size("_want") > 0)
 
 
+def interpolated(low: Column, high: Column, share: Column) -> Column:
+    """Between two neighbours, from the nearer one; equal neighbours (infinities too) stay as they are."""
+    step = high - low
+    return (
+        F.when((low == high) | (share == 0), low)
+        .when(share < 0.5, low + step * share)
+        .otherwise(high - step * (1 - share))
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str | Column,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    one_task: bool | None = None,
-    refine: int = 1,
     above: float | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Quantiles with linear interpolation, per group of ``by`` (or one row overall).
 
     Output: the ``by`` columns, ``n`` and one column ``q0``, ``q1``, … per
-    probability. NULL and NaN are left out; an empty population gives NULLs.
-    ``one_task`` says whether the rows may be gathered in one task; left unset, the
-    rows of ``df`` are counted to find out. Values not ``above`` a limit are left out.
+    probability. NULL and NaN are left out; an empty population gives NULLs. Values not
+    ``above`` a limit are left out. The doubles do not depend on size or partitions.
     """
     source = F.col(value) if isinstance(value, str) else value
     keys = list(by)
-    rows = df.select(*keys, source.cast("double").alias("_v"))
     # NaN is the largest double, so this keeps neither NULL nor NaN.
     kept = F.col("_v") < float("nan")
     if above is not None:
         kept = kept & (F.col("_v") > above)
-    if fits_one_task(df) if one_task is None else one_task:
-        # Not as a filter: Catalyst would push it below the projection and read the
-        # value twice.
-        x = F.when(kept, F.col("_v"))
-        found = rows.groupBy(*keys).agg(
-            F.count(x).alias("n"), F.percentile(x, F.lit(list(probs))).alias("_q")
-        )
-        return found.select(*keys, "n", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    return _quantiles_by_range(rows.filter(kept), probs, keys, refine)
-
-
-def _quantiles_by_range(
-    rows: DataFrame, probs: Sequence[float], keys: list[str], refine: int
-) -> DataFrame:
-    """``refine`` is the number of splitting steps; ``levels_for_any_data()`` of them
-    leave a single value in every range, whatever the data."""
-    rows = rows.withColumn("_r0", value_range(F.col("_v")))
+    rows = df.select(*keys, source.cast("double").alias("_v")).filter(kept)
+    # -0.0 and 0.0 are one value.
+    rows = rows.withColumn("_v", F.col("_v") + F.lit(0.0)).withColumn("_r0", value_range(F.col("_v")))
+    everything = df.select(*keys).distinct() if keys else None
 
     def joined(left: DataFrame, picked: DataFrame, on: Sequence[str]) -> DataFrame:
-        # At most two ranges per probability and group are picked. Without groups that
-        # is a fixed number; with groups the table is written, so that Spark can tell
-        # from its size whether to broadcast it.
-        small = materialise(picked, "ranges") if keys else F.broadcast(picked)
-        renamed = small.select(
+        renamed = picked.select(
             *[F.col(k).alias(f"_p_{k}") for k in on],
             *[c for c in picked.columns if c not in on],
         )
@@ -128,19 +116,24 @@ def _quantiles_by_range(
     level = rows.groupBy(*path).agg(*counters)
     level = level.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
     level = level.withColumn("_want", _targets(F.col("_total"), probs))
-    picked = _narrow(level, keys, "_r0").select(*path, "_low", "_high", "_total", "_want")
-
-    for step in range(1, refine + 1):
+    wide = [*path, "_n", "_low", "_high", "_total", "_want"]
+    # At most two ranges per probability and group. Written, so that Spark knows the size
+    # when it plans the next join, and no step repeats the ones before it.
+    picked = materialise(_narrow(level, keys, "_r0").select(*wide), "ranges")
+    step = 0
+    while _largest(picked) > range_rows:
+        step += 1
         name = f"_r{step}"
-        rows = joined(rows, picked, path).withColumn(
+        finer = joined(rows, picked.drop("_n"), path).withColumn(
             name, sub_range(F.col("_v"), F.col("_low"), F.col("_high"), F.lit(FINE))
         )
-        level = rows.groupBy(*path, name, "_total", "_want").agg(*counters)
-        picked = _narrow(level, path, name).select(*path, name, "_low", "_high", "_total", "_want")
-        rows = rows.select(*path, name, "_v")
+        level = finer.groupBy(*path, name, "_total", "_want").agg(*counters)
+        rows = finer.select(*path, name, "_v")
+        wide = [*path, name, "_n", "_low", "_high", "_total", "_want"]
+        picked = materialise(_narrow(level, path, name).select(*wide), "ranges")
         path = [*path, name]
 
-    values = joined(rows, picked, path).groupBy(*path, "_total", "_want", "_v").agg(
+    values = joined(rows, picked.drop("_n", "_low", "_high"), path).groupBy(*path, "_total", "_want", "_v").agg(
         F.count("*").alias("_n")
     )
     hits = _narrow(values, path, "_v").select(
@@ -150,24 +143,32 @@ def _quantiles_by_range(
         F.max(F.when(F.col("_hit.slot") == i, F.col("_v"))).alias(f"_s{i}")
         for i in range(2 * len(probs))
     ]
-    found = hits.groupBy(*keys).agg(F.max("_total").alias("n"), *slots)
+    found = hits.groupBy(*keys).agg(F.coalesce(F.max("_total"), F.lit(0).cast("long")).alias("n"), *slots)
 
     def between(i: int, p: float) -> Column:
         position = (F.col("n") - 1) * p
         share = position - F.floor(position)
-        low, high = F.col(f"_s{2 * i}"), F.col(f"_s{2 * i + 1}")
-        return (low + (high - low) * share).alias(f"q{i}")
+        return interpolated(F.col(f"_s{2 * i}"), F.col(f"_s{2 * i + 1}"), share).alias(f"q{i}")
 
-    return found.select(*keys, "n", *[between(i, p) for i, p in enumerate(probs)])
+    result = found.select(*keys, "n", *[between(i, p) for i, p in enumerate(probs)])
+    if everything is None:
+        return result
+    # Groups without any value: no count, no quantiles.
+    empty = joined_groups(everything, result, keys)
+    return result.unionByName(empty, allowMissingColumns=True).select(*result.columns)
 
 
-def exact_median(
-    df: DataFrame, value: str | Column, by: Sequence[str] = (), one_task: bool | None = None
-) -> DataFrame:
-    return exact_quantiles(df, value, [0.5], by, one_task).withColumnRenamed("q0", "median")
+def joined_groups(groups: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The groups that ``found`` lacks, with a count of 0."""
+    seen = found.select(*[F.col(k).alias(f"_f_{k}") for k in keys])
+    match = [groups[k].eqNullSafe(seen[f"_f_{k}"]) for k in keys]
+    return groups.join(seen, match, "left_anti").withColumn("n", F.lit(0).cast("long"))
+
+
+def _largest(picked: DataFrame) -> int:
+    """Rows of the fullest range that holds more than one value."""
+    return picked.agg(F.max(F.when(F.col("_high") > F.col("_low"), F.col("_n")))).first()[0] or 0
 
 
-def levels_for_any_data() -> int:
-    """Splitting steps after which a range can only hold a single double."""
-    mantissa_left = 52 - int(math.log2(COARSE))
-    return math.ceil(mantissa_left / math.log2(FINE))
+def exact_median(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:
+    return exact_quantiles(df, value, [0.5], by).withColumnRenamed("q0", "median")

@@ -8,18 +8,26 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mendwork.operators.keys import add_surrogate_key, with_row_rank
-from mendwork.session import materialise
 
 
 @dataclass(frozen=True)
 class Dimension:
     """``name`` and ``id`` columns of a lookup table; ``fixed`` if its size is that of a
-    mapping written in code, so that it may be broadcast without a check."""
+    mapping written in code, so that it may be broadcast without a check; ``unique`` if no
+    name can occur twice, which is checked otherwise."""
 
     table: DataFrame
     name: str
     id: str
     fixed: bool = False
+    unique: bool = False
+
+
+def require_unique(df: DataFrame, column: str) -> None:
+    """Raise if a key of a lookup repeats: a join with it would multiply rows."""
+    repeated = df.filter(F.col(column).isNotNull()).groupBy(column).count().filter("count > 1").first()
+    if repeated is not None:
+        raise ValueError(f"{column} is no key: {repeated[0]!r} occurs {repeated[1]} times")
 
 
 def extract_dimension(
@@ -28,9 +36,9 @@ def extract_dimension(
     """Distinct non-null values with ids in alphabetical order (``city_1``, ``city_2``, …)."""
     name = name or column
     values = df.select(F.col(column).alias(name)).filter(F.col(name).isNotNull()).distinct()
-    ranked = with_row_rank(materialise(values, "values"), [name], "_rank")
+    ranked = with_row_rank(values, [name], "_rank")
     ids = F.concat(F.lit(prefix), F.col("_rank").cast("string")).alias(id_name)
-    return Dimension(ranked.select(ids, name), name, id_name)
+    return Dimension(ranked.select(ids, name), name, id_name, unique=True)
 
 
 def dimension_of_values(
@@ -39,13 +47,15 @@ def dimension_of_values(
     """The dimension of a fixed set of canonical values."""
     rows = [(f"{prefix}{i}", v) for i, v in enumerate(sorted(set(values)), start=1)]
     table = spark.createDataFrame(rows, f"`{id_name}` string, `{name}` string")
-    return Dimension(table, name, id_name, fixed=True)
+    return Dimension(table, name, id_name, fixed=True, unique=True)
 
 
 def star_fact(df: DataFrame, dimensions: Mapping[str, Dimension]) -> DataFrame:
-    """Replace the named columns by dimension ids; NULL stays NULL."""
+    """Replace the named columns by dimension ids; NULL stays NULL. Repeated names are an error."""
     fact = df
     for column, dim in dimensions.items():
+        if not dim.unique:
+            require_unique(dim.table, dim.name)
         ids = dim.table.select(F.col(dim.name).alias("_name"), F.col(dim.id).alias("_id"))
         ids = F.broadcast(ids) if dim.fixed else ids
         fact = fact.join(ids, fact[column] == ids["_name"], "left").drop("_name")

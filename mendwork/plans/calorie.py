@@ -48,3 +48,22 @@ def split(
     keyed = add_surrogate_key(varying, order_by, "record_id", pattern=None)
     kept = {name: [c for c in cols if c not in constants] for name, cols in groups.items()}
     return vertical_split(keyed, "record_id", kept), constants
+
+
+def audit_document(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
+    """One row: renamed columns, scores brought to one scale, labels without a canonical value, dropped constants."""
+    named = snake_case_columns(df)
+    renames = {a: b for a, b in zip(df.columns, named.columns, strict=True) if a != b}
+    renames |= {c: PERCENTAGES[c] for c in named.columns if c in PERCENTAGES}
+    label = F.col("calorie_efficiency")
+    known = canonical(label, EFFICIENCY_MAP)
+
+    def as_map(pairs: Mapping[str, object]) -> Column:
+        items = [F.lit(None if x is None else str(x)) for pair in pairs.items() for x in pair]
+        return F.create_map(*items).cast("map<string,string>")
+
+    return named.agg(
+        F.count("*").alias("rows"),
+        F.count_if(rescaled(named)).alias("rescaled_rows"),
+        F.count_if(label.isNotNull() & known.isNull()).alias("unmapped_label_rows"),
+    ).select("*", as_map(renames).alias("renamed"), as_map(constants).alias("dropped_constants"))

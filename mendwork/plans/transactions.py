@@ -8,7 +8,7 @@ alone; the only shuffle of whole rows is that of the surrogate key.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,7 +34,6 @@ from mendwork.operators.outliers import with_outlier_flag
 from mendwork.operators.quality import issue_counts
 from mendwork.operators.quantiles import exact_median
 from mendwork.operators.report import spread
-from mendwork.operators.sizing import fits_one_task
 from mendwork.operators.star import Dimension, dimension_of_values, star_fact
 from mendwork.session import materialise
 from mendwork.sources.readers import EXPECTED_COLUMNS, require_columns
@@ -48,57 +47,68 @@ class Options:
     """``order_by`` must identify a row: it defines the numbering of the surrogate key.
 
     ``passes`` is how often outliers are looked for: 2 takes the bounds again on the
-    rows that survived the cleansing. ``one_task`` may be set when the row count is
-    already known to be small or large, which saves counting the rows.
+    rows that survived the cleansing.
     """
 
     order_by: Sequence[str]
     max_year: int | None = None
     min_year: int = MIN_YEAR
     passes: int = 2
-    one_task: bool | None = None
     status_map: Mapping[str, str] = field(default_factory=lambda: STATUS_MAP)
     card_map: Mapping[str, str] = field(default_factory=lambda: CARD_MAP)
     city_map: Mapping[str, str] = field(default_factory=lambda: CITY_MAP)
 
-    def sized(self, df: DataFrame) -> Options:
-        """The same options with ``one_task`` settled by one row count."""
-        return self if self.one_task is not None else replace(self, one_task=fits_one_task(df))
-
 
 def strip_columns(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS) -> DataFrame:
     return df.withColumns({c: strip(F.col(c).cast("string")) for c in columns})
 
 
-def cleanse(df: DataFrame, options: Options) -> DataFrame:
-    """Strip, salvage time texts, and null amount outliers.
-
-    Adds ``time_formatted_flag`` and ``amount_nulled_flag`` for the counts, and
-    ``time_stamp`` and ``amount_number``, so that later phases need not parse again.
-    """
+def cleanse_time(df: DataFrame, options: Options) -> DataFrame:
+    """Salvage the time texts of a stripped table: ``time_stamp`` and ``time_formatted_flag`` are added."""
     time = F.col("time")
     parsed = with_parsed_datetime(
-        strip_columns(df), "time", "time_stamp", options.max_year, options.min_year, stripped=True
-    ).withColumn("amount_number", to_number(F.col("amount"), stripped=True))
+        df, "time", "time_stamp", options.max_year, options.min_year, stripped=True
+    )
     salvaged = parsed.withColumn(
         "_salvaged",
         salvage_time_text(time, options.max_year, options.min_year, F.col("time_stamp")),
     )
     changed = F.col("_salvaged") != F.coalesce(time, F.lit(""))
-    numbered = (
+    return (
         salvaged.withColumn("time_formatted_flag", changed)
         .withColumn("time", F.col("_salvaged"))
         .drop("_salvaged")
     )
-    flagged = with_outlier_flag(
-        numbered, "amount_number", "amount_nulled_flag", one_task=options.one_task
-    )
+
+
+def parse_amount(df: DataFrame) -> DataFrame:
+    """``amount_number`` of a stripped table."""
+    return df.withColumn("amount_number", to_number(F.col("amount"), stripped=True))
+
+
+def null_amount_outliers(df: DataFrame) -> DataFrame:
+    """First outlier pass of a table with ``amount_number``; adds ``amount_nulled_flag``."""
+    flagged = with_outlier_flag(df, "amount_number", "amount_nulled_flag")
     kept = ~F.col("amount_nulled_flag")
     return flagged.withColumns(
         {c: F.when(kept, F.col(c)) for c in ("amount", "amount_number")}
     )
 
 
+def cleanse_amount(df: DataFrame) -> DataFrame:
+    """Parse the amounts of a stripped table and null outliers."""
+    return null_amount_outliers(parse_amount(df))
+
+
+def cleanse(df: DataFrame, options: Options) -> DataFrame:
+    """Strip, salvage time texts, and null amount outliers.
+
+    Adds ``time_formatted_flag`` and ``amount_nulled_flag`` for the counts, and
+    ``time_stamp`` and ``amount_number``, so that later phases need not parse again.
+    """
+    return cleanse_amount(cleanse_time(strip_columns(df), options))
+
+
 def cleansing_counts(cleansed: DataFrame) -> DataFrame:
     """(metric, value) of the cleansing phase."""
     counts = cleansed.agg(
@@ -143,9 +153,7 @@ def transform_amount(df: DataFrame, options: Options) -> DataFrame:
     ).drop("amount_number")
     if options.passes < 2:
         return flagged.withColumn("amount_outlier_flag", F.lit(False))
-    return with_outlier_flag(
-        flagged, "amount_numeric", "amount_outlier_flag", one_task=options.one_task
-    )
+    return with_outlier_flag(flagged, "amount_numeric", "amount_outlier_flag")
 
 
 def transform(df: DataFrame, options: Options) -> DataFrame:
@@ -216,7 +224,7 @@ def normalise(df: DataFrame, options: Options) -> DataFrame:
 
 
 def _with_key(df: DataFrame, options: Options) -> DataFrame:
-    return add_surrogate_key(df, options.order_by, one_task=options.one_task)
+    return add_surrogate_key(df, options.order_by)
 
 
 @dataclass(frozen=True)
@@ -237,17 +245,15 @@ def after_cleansing(cleansed: DataFrame, options: Options) -> DataFrame:
     return normalise(transform(cleansed, options), options)
 
 
-def run(df: DataFrame, options: Options, save: bool = False) -> Reengineered:
+def run(df: DataFrame, options: Options) -> Reengineered:
     """All phases. The reports read the frame before the key is added: they need no order.
 
-    With ``save`` the finished rows are written once to the shared folder, for runs
-    that use several of the results: the texts are then parsed only once.
+    The source is read once: its stripped and parsed rows are written to the shared
+    folder, and both outlier passes read the one numeric column of that table.
     """
     require_columns(df, EXPECTED_COLUMNS)
-    options = options.sized(df)
-    ready = normalise_columns(transform(cleanse(df, options), options))
-    if save:
-        ready = materialise(ready, "transactions")
+    parsed = materialise(parse_amount(cleanse_time(strip_columns(df), options)), "transactions")
+    ready = normalise_columns(transform(null_amount_outliers(parsed), options))
     return Reengineered(
         frame=_with_key(ready, options),
         summary=phase_counts(ready),
@@ -306,10 +312,10 @@ def profile_document(df: DataFrame, id_column: str = "id") -> DataFrame:
     )
 
 
-def metadata_document(frame: DataFrame, notes: Sequence[str] = (), one_task: bool | None = None) -> DataFrame:
+def metadata_document(frame: DataFrame, notes: Sequence[str] = ()) -> DataFrame:
     """One row: how many values each transform touched, and free notes."""
     kept = F.when(F.col("amount_clean") > 0, F.col("amount_clean"))
-    median = exact_median(frame, kept, one_task=one_task).select("median").scalar()
+    median = exact_median(frame, kept).select("median").scalar()
     valid = F.count_if("time_valid_flag")
     unmapped = [
         F.count_if(f"{c}_invalid_flag").alias(f"{c}_unmapped_non_null_to_null")

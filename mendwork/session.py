@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,27 +48,43 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    Only a local session may fall back to a temporary folder: on a cluster an
-    executor could not read what another one wrote there.
+    It has to be set. Only in local mode, where driver and executors are one process,
+    an unset one becomes a folder that goes with the process.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="mendwork-"))
+        folder = tempfile.mkdtemp(prefix="mendwork-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.setCheckpointDir(folder)
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 
+# Tables written by this process, for ``drop_tables``.
+WRITTEN: list[str] = []
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     Cuts the lineage without computing the plan twice, keeps column pruning for the
     readers, and survives the loss of executors. It also lets Spark know the size of
     an aggregated table before it plans a join: a small one is then broadcast and the
-    large side stays where it is, a large one is not.
+    large side stays where it is, a large one is not. ``drop_tables`` removes them.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Remove the intermediate tables written so far, once all results are saved; returns their number."""
+    count = len(WRITTEN)
+    while WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count

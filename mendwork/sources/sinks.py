@@ -54,8 +54,10 @@ def transformed_view(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One file per partition, each with a header."""
-    df.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    """One file per partition, each with a header; blanks around texts are kept."""
+    writer = df.write.mode(mode).option("header", True).option("emptyValue", "")
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def write_document(one_row: DataFrame, path: str, mode: str = "overwrite") -> None:

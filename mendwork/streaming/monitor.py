@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from mendwork.functions.nulls import NullPolicy, is_missing
 from mendwork.functions.numeric import percent
@@ -43,3 +44,28 @@ def null_rate_by_window(
         *[f"{c}_null_rows" for c in columns],
         *rates,
     )
+
+
+def start_monitor(
+    stream: DataFrame,
+    time: str,
+    columns: Sequence[str],
+    path: str,
+    checkpoint: str,
+    window: str = "1 day",
+    watermark: str = "1 hour",
+    policy: NullPolicy = NullPolicy.NULL_LIKE,
+    once: bool = False,
+) -> StreamingQuery:
+    """Write each window once, when the watermark closes it; closed windows leave the state.
+
+    Each micro-batch has a folder of its own, so one that is run again after a failure
+    replaces its earlier attempt. Rows later than the watermark allows are left out.
+    """
+    rates = null_rate_by_window(stream, time, columns, window, watermark, policy)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = rates.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
