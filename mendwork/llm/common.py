@@ -67,6 +67,14 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).cast("binary")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def is_fold(column: str, modulus: int, remainder: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; false for a missing id."""
     checksum = F.crc32(F.col(f"`{column}`").cast("string").cast("binary"))

@@ -104,8 +104,8 @@ def mix(
     """
     levels = levels or [domain_of(F.col("source")), F.col("lang"), F.col("source")]
     tokens = word_count() if tokens is None else tokens
-    kept = [c for c in docs.columns if c not in (*LEVELS, "epoch")]
-    placed = docs.select(*(F.col(f"`{c}`") for c in kept), *tree(docs, levels))
+    kept = [c for c in docs.columns if c.lower() not in (*LEVELS, "epoch")]
+    placed = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), *tree(docs, levels))
     narrow = materialise(
         docs.select(F.col(f"`{id_column}`").alias("_id"), *tree(docs, levels), tokens.alias("tokens")), "mixing-rows"
     )
@@ -136,10 +136,11 @@ def mix(
     )
 
     # A key is taken if its range lies before the end, or if it is not beyond the last key that fits.
-    final = placed.join(plan, LEVELS).withColumn("_key", order_key(seed, F.col("whole_epochs"), id_column))
-    early = F.substring("_key", 1, RANGE_DIGITS) < F.col("end_range")
-    more = F.col("end_range").isNull() | early | F.coalesce(F.col("_key") <= F.col("cut"), F.lit(False))
+    key = order_key(seed, F.col("whole_epochs"), f"row`.`{id_column}")
+    final = placed.join(plan, LEVELS).withColumn("key", key)
+    early = F.substring("key", 1, RANGE_DIGITS) < F.col("end_range")
+    more = F.col("end_range").isNull() | early | F.coalesce(F.col("key") <= F.col("cut"), F.lit(False))
     more = more & (F.col("rest") > 0)
     last = F.col("whole_epochs") - 1 + more.cast("long")
     epochs = F.when(last >= 0, F.sequence(F.lit(0).cast("long"), last)).otherwise(F.array().cast("array<bigint>"))
-    return final.select(*kept, *LEVELS, F.explode(epochs).alias("epoch"))
+    return final.select("row.*", *LEVELS, F.explode(epochs).alias("epoch"))

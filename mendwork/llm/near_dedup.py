@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from mendwork.session import materialise
 
 from . import common
-from .common import map_rows, utf8, worker_cache
+from .common import map_rows, unused, utf8, worker_cache
 from .components import components
 
 common.ship(__name__)
@@ -242,5 +242,6 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` whose document is kept; same columns. Rows without an id stay."""
     id_column = options.get("id_column", "doc_id")
     groups = near_groups(docs, **options)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_column}`").cast("long") == F.col("_gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = groups.where("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col(f"`{id_column}`").cast("long") == F.col(name), "left_anti")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mendwork.session import materialise
 
-from .common import bounded_sample
+from .common import bounded_sample, unused
 
 # Key-like characters; a run has a digit or a small letter before a capital.
 _CHARACTERS = "A-Za-z0-9+/_-"
@@ -191,11 +191,12 @@ def redact(docs: DataFrame, mask: str = "[secret]", id_column: str = "doc_id", t
     found = scan(docs, id_column=id_column, text_column=text_column, **options)
     # Longer ones first, so that one that holds another is replaced as a whole.
     secrets = found.where("predicted = 1 and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("length", "candidate")).alias("s"))
-    secrets = secrets.select(F.col("doc_id").alias("_id"), F.transform(F.reverse(F.array_sort("s")), lambda x: x["candidate"]).alias("_secrets"))
+    key, strings, text = unused(docs, "found_id"), unused(docs, "found"), F.col(f"`{text_column}`")
+    secrets = secrets.select(F.col("doc_id").alias(key), F.transform(F.reverse(F.array_sort("s")), lambda x: x["candidate"]).alias(strings))
     secrets = materialise(secrets, "secrets")
-    joined = docs.join(secrets, F.col(f"`{id_column}`").cast("long") == F.col("_id"), "left")
-    clean = F.aggregate("_secrets", F.col(f"`{text_column}`"), lambda t, s: F.replace(t, s, F.lit(mask)))
-    joined = joined.withColumn(text_column, F.when(F.col("_secrets").isNull(), F.col(f"`{text_column}`")).otherwise(clean))
+    joined = docs.join(secrets, F.col(f"`{id_column}`").cast("long") == F.col(key), "left")
+    clean = F.aggregate(strings, text, lambda t, s: F.replace(t, s, F.lit(mask)))
+    changed = {text_column: F.when(F.col(strings).isNull(), text).otherwise(clean)}
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.when(F.col("_secrets").isNull(), F.col("n_chars")).otherwise(F.length(F.col(f"`{text_column}`")).cast("long")))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
+        changed["n_chars"] = F.when(F.col(strings).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast("long"))
+    return joined.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns))
