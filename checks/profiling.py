@@ -9,6 +9,7 @@ from checks.base import (
 )
 from checks.cleaning import OPTIONS, cleansed, timed, transformed
 from mendwork.functions import formats
+from mendwork.functions.fixed_values import TIME_LAYOUTS
 from mendwork.functions.nulls import NullPolicy, is_null_like
 from mendwork.functions.numeric import to_number
 from mendwork.operators import (
@@ -199,15 +200,8 @@ def _(spark, folder):
     return accuracy.hour_histogram(dirty(spark, folder), "time")
 
 
-_TIME_CLASSES = [
-    ("HH:MM YYYY-MM-DD", r"\d{1,2}:\d{2}\s+\d{4}-\d{2}-\d{2}"),
-    ("HH:MM:SS YYYY-MM-DD", r"\d{1,2}:\d{2}:\d{2}\s+\d{4}-\d{2}-\d{2}"),
-    ("YYYY-MM-DD HH:MM", r"\d{4}-\d{2}-\d{2}\s+\d{1,2}:\d{2}"),
-    ("YYYY-MM-DD HH:MM:SS", r"\d{4}-\d{2}-\d{2}\s+\d{1,2}:\d{2}:\d{2}"),
-    ("HH:MM only", r"\d{1,2}:\d{2}"),
-    ("NULL YYYY-MM-DD", r"NULL\s+\d{4}-\d{2}-\d{2}"),
-    ("HH:MM NULL", r"\d{1,2}:\d{2}\s+NULL"),
-]
+# The layouts that the derived times can have.
+_TIME_CLASSES = [(n, p.strip("^$")) for n, p in TIME_LAYOUTS if "/" not in n]
 
 
 def class_sql(column: str, classes, other: str = "OTHER") -> str:

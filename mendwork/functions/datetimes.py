@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mendwork.functions.fixed_values import NULL_TOKEN
+from mendwork.functions.fixed_values import CLOCK_FRAGMENT, DATE_FRAGMENT, NULL_TOKEN
 from mendwork.functions.text import SPACES, ascii_digits, strip
 
 # First year that a nanosecond timestamp covers in full, and the range's ends.
@@ -41,8 +41,6 @@ REORDERED = (
 )
 AFTERNOON = "(?i)^[0-9]+[^0-9]*pm"
 
-DATE_FRAGMENT = r"(?U)\b[0-9]{4}[/-][0-9]{2}[/-][0-9]{2}\b"
-CLOCK_FRAGMENT = r"(?U)\b[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\b"
 REAL_CLOCK = "^([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$"
 
 STAMP_LAYOUT = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"

@@ -141,3 +141,38 @@ AMOUNT_LAYOUTS = (
     ("decimal", r"^-?\d+\.\d+$"),
     ("comma-number", r"^-?\d{1,3}(,\d{3})+(\.\d+)?$"),
 )
+
+# Columns that a transaction file must have.
+EXPECTED_COLUMNS = ("status", "time", "card_type", "city", "amount", "id")
+
+# Pieces of a time text that are looked for one by one (slashes are dashes by then).
+DATE_FRAGMENT = r"(?U)\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b"
+CLOCK_FRAGMENT = r"(?U)\b[0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?\b"
+
+# Row labels of the reports, by what they count.
+DUPLICATE_ID_LABELS = {
+    "rows": "Total rows",
+    "null": "Rows with null/blank ID",
+    "ids": "Rows with non-null ID",
+    "repeated": "Rows with duplicated ID",
+    "rate": "Duplicate ID rate (%) over non-null IDs",
+}
+DUPLICATE_ROW_LABELS = {
+    "rows": "Total rows",
+    "members": "Rows that are part of exact duplicate groups",
+    "groups": "Unique exact duplicate row patterns",
+}
+AMOUNT_LABELS = {
+    "text": "Non-numeric amount rows",
+    "negative": "Negative amounts (converted to positive)",
+}
+ISSUE_LABELS = [
+    ("status", "invalid status values", "status_invalid_flag"),
+    ("time", "invalid datetime values", "time_invalid_flag"),
+    ("card_type", "invalid card_type values", "card_type_invalid_flag"),
+    ("city", "invalid city values", "city_invalid_flag"),
+    ("amount", "non-numeric values", "amount_non_numeric_flag"),
+    ("amount", "negative values", "amount_negative_flag"),
+    ("amount", "IQR outlier values", "amount_outlier_flag"),
+]
+DUPLICATED_ID_ISSUE = "duplicated original id rows"

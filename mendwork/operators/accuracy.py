@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mendwork.functions.datetimes import datetime_status, matched_time_layout, written_hour
+from mendwork.functions.fixed_values import AMOUNT_LABELS
 from mendwork.functions.numeric import percent, to_number
 from mendwork.functions.text import strip
 from mendwork.operators.report import spread
@@ -47,8 +48,8 @@ def amount_accuracy_detail(df: DataFrame, column: str) -> DataFrame:
         F.count_if(F.col("_x") < 0).alias("_negative"),
     )
     rows = [
-        (F.lit("Non-numeric amount rows"), F.col("_text")),
-        (F.lit("Negative amounts (converted to positive)"), F.col("_negative")),
+        (F.lit(AMOUNT_LABELS["text"]), F.col("_text")),
+        (F.lit(AMOUNT_LABELS["negative"]), F.col("_negative")),
     ]
     return spread(counts, ["metric", "value"], rows)
 

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mendwork.functions.fixed_values import DUPLICATE_ID_LABELS, DUPLICATE_ROW_LABELS
 from mendwork.functions.numeric import percent
 from mendwork.functions.text import strip
 from mendwork.operators.report import spread
@@ -39,11 +40,11 @@ def duplicate_id_summary(df: DataFrame, column: str) -> DataFrame:
         F.coalesce(F.sum(F.when(present & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("_dup"),
     )
     rows = [
-        ("Total rows", F.col("_rows").cast("double")),
-        ("Rows with null/blank ID", F.col("_null").cast("double")),
-        ("Rows with non-null ID", F.col("_ids").cast("double")),
-        ("Rows with duplicated ID", F.col("_dup").cast("double")),
-        ("Duplicate ID rate (%) over non-null IDs", percent(F.col("_dup"), F.col("_ids"))),
+        (DUPLICATE_ID_LABELS["rows"], F.col("_rows").cast("double")),
+        (DUPLICATE_ID_LABELS["null"], F.col("_null").cast("double")),
+        (DUPLICATE_ID_LABELS["ids"], F.col("_ids").cast("double")),
+        (DUPLICATE_ID_LABELS["repeated"], F.col("_dup").cast("double")),
+        (DUPLICATE_ID_LABELS["rate"], percent(F.col("_dup"), F.col("_ids"))),
     ]
     return spread(totals, ["metric", "value"], [(F.lit(n), c) for n, c in rows])
 
@@ -114,9 +115,9 @@ def duplicate_row_summary(df: DataFrame, columns: Sequence[str] | None = None) -
         F.count("*").alias("_groups"),
     ).withColumn("_rows", df.agg(F.count("*")).scalar())
     rows = [
-        (F.lit("Total rows"), F.col("_rows")),
-        (F.lit("Rows that are part of exact duplicate groups"), F.col("_members")),
-        (F.lit("Unique exact duplicate row patterns"), F.col("_groups")),
+        (F.lit(DUPLICATE_ROW_LABELS["rows"]), F.col("_rows")),
+        (F.lit(DUPLICATE_ROW_LABELS["members"]), F.col("_members")),
+        (F.lit(DUPLICATE_ROW_LABELS["groups"]), F.col("_groups")),
     ]
     return spread(totals, ["metric", "value"], rows)
 

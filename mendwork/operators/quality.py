@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mendwork.functions.datetimes import datetime_status
+from mendwork.functions.fixed_values import DUPLICATED_ID_ISSUE, ISSUE_LABELS
 from mendwork.functions.mapping import canonical, is_unmapped
 from mendwork.functions.nulls import NullPolicy, is_missing_text
 from mendwork.functions.numeric import to_number
@@ -106,20 +107,11 @@ def snapshot_against(df: DataFrame, baseline: DataFrame, mappings: Mapping[str,
 
 def issue_counts(df: DataFrame, id_column: str = "id") -> DataFrame:
     """The eight issue counts of the re-engineered frame."""
-    issues = [
-        ("status", "invalid status values", "status_invalid_flag"),
-        ("time", "invalid datetime values", "time_invalid_flag"),
-        ("card_type", "invalid card_type values", "card_type_invalid_flag"),
-        ("city", "invalid city values", "city_invalid_flag"),
-        ("amount", "non-numeric values", "amount_non_numeric_flag"),
-        ("amount", "negative values", "amount_negative_flag"),
-        ("amount", "IQR outlier values", "amount_outlier_flag"),
-    ]
-    counts = df.agg(*[F.count_if(flag).alias(flag) for _, _, flag in issues]).withColumn(
+    counts = df.agg(*[F.count_if(flag).alias(flag) for _, _, flag in ISSUE_LABELS]).withColumn(
         "duplicated", duplicated_rows_by_key(df, id_column).scalar()
     )
-    rows = [(F.lit(c), F.lit(text), F.col(flag)) for c, text, flag in issues]
-    rows.append((F.lit(id_column), F.lit("duplicated original id rows"), F.col("duplicated")))
+    rows = [(F.lit(c), F.lit(text), F.col(flag)) for c, text, flag in ISSUE_LABELS]
+    rows.append((F.lit(id_column), F.lit(DUPLICATED_ID_ISSUE), F.col("duplicated")))
     return spread(counts, ["column", "issue", "row_count"], rows)
 
 

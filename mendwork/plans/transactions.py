@@ -22,7 +22,13 @@ from mendwork.functions.datetimes import (
     salvage_time_text,
     with_parsed_datetime,
 )
-from mendwork.functions.fixed_values import CARD_MAP, CITY_MAP, STATUS_MAP
+from mendwork.functions.fixed_values import (
+    CARD_MAP,
+    CITY_MAP,
+    DUPLICATE_ROW_LABELS,
+    EXPECTED_COLUMNS,
+    STATUS_MAP,
+)
 from mendwork.functions.nulls import NullPolicy, is_missing
 from mendwork.functions.numeric import to_number
 from mendwork.functions.text import strip
@@ -36,7 +42,7 @@ from mendwork.operators.quantiles import exact_median
 from mendwork.operators.report import spread
 from mendwork.operators.star import Dimension, dimension_of_values, star_fact
 from mendwork.session import materialise
-from mendwork.sources.readers import EXPECTED_COLUMNS, require_columns
+from mendwork.sources.readers import require_columns
 from mendwork.sources.sinks import transformed_frame
 
 TEXT_COLUMNS = ("status", "time", "card_type", "city", "amount")
@@ -291,7 +297,7 @@ def profile_document(df: DataFrame, id_column: str = "id") -> DataFrame:
         for c in df.columns
         for x in (F.lit(c), F.count_if(is_missing(df, c, policy)))
     ]
-    twins = duplicate_row_summary(df).filter(F.col("metric").startswith("Rows that")).select("value")
+    twins = duplicate_row_summary(df).filter(F.col("metric") == DUPLICATE_ROW_LABELS["members"]).select("value")
     one = df.agg(
         F.count("*").alias("rows"),
         F.create_map(*pairs).alias("missing_by_col"),

@@ -6,11 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mendwork.functions.fixed_values import EXPECTED_COLUMNS
 from mendwork.functions.nulls import NullPolicy, blank_to_null
 
-EXPECTED_COLUMNS = ("status", "time", "card_type", "city", "amount", "id")
-
-
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Fail before any job runs if a column is absent; order and extra columns are free."""
     missing = [c for c in required if c not in df.columns]
