@@ -181,14 +181,14 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     that the texts that still have a word at some position are the first ones.
     """
     starts = np.cumsum(lengths) - lengths
-    labels = np.zeros(len(scores), dtype=np.int8)
+    labels = np.zeros(len(scores), dtype=np.int16)
     if not len(scores):
         return labels
     steps = int(lengths[0])
     active = np.searchsorted(-lengths, -np.arange(steps), side="left")
     state = np.zeros((len(lengths), scores.shape[1]), dtype=np.float32)
     stays = np.zeros(scores.shape, dtype=bool)
-    top = np.zeros(len(scores), dtype=np.int8)
+    top = np.zeros(len(scores), dtype=np.int16)
     for t in range(steps):
         n = active[t]
         at, own = starts[:n] + t, state[:n]
