@@ -11,8 +11,10 @@ parameter and does not grow with the data, so one source or one group of copies
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 import zlib
+from array import array
 from bisect import bisect_right
 
 import numpy as np
@@ -46,28 +48,53 @@ def _encoder(path: str):
     return memo[path]
 
 
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 16-bit numbers."""
+    packed = array("H", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
+def _word_ends(path: str) -> np.ndarray:
+    """Per id whether it ends a run of letters."""
+    memo = worker_cache("packing-word-ends")
+    if path not in memo:
+        vocabulary = _encoder(path).get_vocab()
+        memo[path] = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        memo[path][[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+    return memo[path]
+
+
 def encode_words(words: list[bytes], path: str, memo: dict) -> None:
     """Put the ids (unsigned 16-bit) of the words that ``memo`` lacks into it.
 
-    White space separates words for this vocabulary, so a word's ids do not depend on its neighbours.
-    The words go to the library in one text, parted by a special token.
+    White space separates words for this vocabulary, so a word's ids do not depend on its neighbours. Small
+    ASCII letters are what the library's model sees as they are; other words of letters go to the library in
+    texts of some words, each of which ends with a word-end piece; the rest is parted by a special token.
     """
-    if not words:
-        return
     library = _encoder(path)
-    part = library.token_to_id(SEPARATOR)
-    plain = [w for w in words if b"<|" not in w]
-    for word in set(words) - set(plain):
-        text = word.decode("utf-8")
-        memo[word] = np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
-    if plain:
-        text = SEPARATOR.join(w.decode("utf-8") for w in plain)
-        ids = np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u2")
-        ends = np.flatnonzero(ids == part).tolist()
-        raw, begin = ids.tobytes(), 0
-        for word, end in zip(plain, [*ends, len(ids)], strict=True):
-            memo[word] = raw[2 * begin : 2 * end]
-            begin = end + 1
+    model, part, ends = library.model, library.token_to_id(SEPARATOR), _word_ends(path)
+    lettered, others = [], []
+    for word in words:
+        if word.isalpha() and word.islower():
+            memo[word] = _packed([t.id for t in model.tokenize(word.decode("ascii"))])
+        elif b"<|" in word:
+            ids = library.encode(word.decode("utf-8"), add_special_tokens=False).ids
+            memo[word] = _packed(ids)
+        else:
+            (lettered if letters_only(word) else others).append(word)
+    for group, glue, is_end in ((lettered, " ", ends.__getitem__), (others, SEPARATOR, lambda ids: ids == part)):
+        for at in range(0, len(group), 50):
+            some = group[at : at + 50]
+            text = glue.join([w.decode("utf-8") for w in some]) + (SEPARATOR if glue == SEPARATOR else "")
+            ids = np.array(library.encode(text, add_special_tokens=False).ids, dtype="<u2")
+            raw, begin = ids.tobytes(), 0
+            for word, end in zip(some, np.flatnonzero(is_end(ids)).tolist(), strict=True):
+                # A separator is left out, a word's own last piece is not.
+                stop = end if glue == SEPARATOR else end + 1
+                memo[word] = raw[2 * begin : 2 * stop]
+                begin = end + 1
 
 
 def letters_only(word: bytes) -> bool:
