@@ -11,6 +11,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mendwork.session import materialise
+
 # Rows that a Python worker handles at a time: bounds its memory, not the result.
 SLICE = 1000
 
@@ -67,6 +69,39 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).cast("binary")
 
 
+# Bits of the table of hashed ids: 8 MB whatever the data, as 2,048 rows of 4 KB.
+ID_BITS = 1 << 26
+
+
+def split_by_ids(df: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose key may be in ``ids`` (one column), and those whose key surely is not.
+
+    A join with few ids would move all texts. Instead the ids' hashes are set in a bitmap of fixed size, the
+    only thing that is broadcast; the first part has all rows of ``ids`` and a few others, and is joined as
+    usual, the second one stays where it is. With very many ids the bitmap fills up and the first part has
+    nearly all rows, which costs a shuffle but changes no result. Rows without a key are in the second part.
+    """
+    def spot(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column.cast("long")), F.lit(ID_BITS)) + 1
+
+    name, bucket, bits = unused(df, "spot"), unused(df, "bucket"), unused(df, "bits")
+    spots = ids.where(F.col(ids.columns[0]).isNotNull()).select(spot(F.col(ids.columns[0])).alias(name)).distinct()
+    bitmap = spots.groupBy(F.bitmap_bucket_number(name).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(name)).alias(bits))
+    bitmap = materialise(bitmap, "id-bitmap")
+    own = F.col(f"`{key}`").cast("long")
+    position = F.bitmap_bit_position(spot(own))
+    byte = F.conv(F.hex(F.substring(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    # Bit n of a bitmap is bit n % 8 of byte n / 8.
+    there = F.coalesce(_bit(byte, position % 8) == 1, F.lit(False)) & own.isNotNull()
+    marked = df.withColumn(bucket, F.bitmap_bucket_number(spot(own))).join(F.broadcast(bitmap), bucket, "left")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return marked.where(there).select(*columns), marked.where(~there).select(*columns)
+
+
+def _bit(byte: Column, place: Column) -> Column:
+    return F.floor(byte / F.pow(F.lit(2.0), place)).cast("long") % 2
+
+
 def unused(df: DataFrame, name: str) -> str:
     """The name, with underscores before it until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

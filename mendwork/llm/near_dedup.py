@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from mendwork.session import materialise
 
 from . import common
-from .common import map_rows, unused, utf8, worker_cache
+from .common import map_rows, split_by_ids, unused, utf8, worker_cache
 from .components import components
 
 common.ship(__name__)
@@ -35,6 +35,8 @@ PERCENT = 85
 BANDS = 9
 ROWS = 3
 BLOCK_DOCUMENTS = 1024
+# A block's shingles per document that it may hold, on average.
+BLOCK_SHINGLES = 2048
 MEMO_WORDS = 300_000
 
 SIGNATURES = "doc_id long, n_shingles long, class binary, first array<long>, second array<long>"
@@ -107,9 +109,20 @@ def signatures(
     return map_rows(docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), utf8(text_column).alias("text")), work, SIGNATURES)
 
 
-def table_keys(df: DataFrame) -> DataFrame:
-    """One row per table and document: a hash of a band of the first and a band of the second collection."""
-    return df.select("doc_id", F.explode("first").alias("x"), "second").select(
+def table_keys(df: DataFrame, bands: int) -> DataFrame:
+    """One row per table and document: a hash of a band of the first and a band of the second collection.
+
+    A table key can only be shared where both its halves are. So the 2 x bands halves are matched first, and
+    only those that occur in another document too are combined; a document without any has no rows.
+    """
+    halves = df.select("doc_id", F.posexplode(F.concat("first", "second")).alias("place", "half"))
+    ends = halves.groupBy("half").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    shared = halves.join(ends.where("low != high").select("half"), "half", "left_semi")
+    mine = shared.groupBy("doc_id").agg(
+        F.collect_list(F.when(F.col("place") < bands, F.col("half"))).alias("first"),
+        F.collect_list(F.when(F.col("place") >= bands, F.col("half"))).alias("second"),
+    )
+    return mine.select("doc_id", F.explode("first").alias("x"), "second").select(
         "doc_id", "x", F.explode("second").alias("y")
     ).select("doc_id", F.xxhash64("x", "y").alias("key"))
 
@@ -199,15 +212,20 @@ def near_groups(
     same = members.where("doc_id != rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     reps = members.where("doc_id = rep").select("doc_id", "class")
 
-    keyed = table_keys(known.join(reps, ["doc_id", "class"], "left_semi").dropDuplicates(["doc_id", "class"]))
+    distinct = known.join(reps, ["doc_id", "class"], "left_semi").dropDuplicates(["doc_id", "class"])
+    keyed = materialise(table_keys(distinct, bands), "table-keys")
     hubs = keyed.groupBy("key").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b != top").drop("top")
     shared = keyed.join(hubs, "key").select(F.col("doc_id").alias("a"), "b").where("a != b").distinct()
     groups = materialise(components(shared), "candidate-groups")
 
-    sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / block_documents).cast("int").alias("blocks"))
+    # Blocks are bounded by documents and by shingles, so a few very long texts do not fill a task.
+    lengths = reps.join(known.groupBy("doc_id").agg(F.max("n_shingles").alias("n")), "doc_id").select(F.col("doc_id").alias("id"), "n")
+    blocks = F.ceil(F.greatest(F.count("*") / block_documents, F.sum("n") / (block_documents * BLOCK_SHINGLES)))
+    sizes = groups.join(lengths, "id").groupBy("component").agg(blocks.cast("int").alias("blocks"))
     dealt = groups.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), utf8(text_column).alias("text"))
-    placed = texts.join(dealt.withColumnRenamed("id", "doc_id"), "doc_id")
+    maybe, _ = split_by_ids(texts, "doc_id", groups.select("id"))
+    placed = maybe.join(dealt.withColumnRenamed("id", "doc_id"), "doc_id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pairs = placed.select("doc_id", "text", "component", "block", "blocks", other).select(
         "doc_id", "text", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
@@ -243,5 +261,6 @@ def deduplicate(docs: DataFrame, **options) -> DataFrame:
     id_column = options.get("id_column", "doc_id")
     groups = near_groups(docs, **options)
     name = unused(docs, "gone")
-    gone = groups.where("not kept").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(gone, F.col(f"`{id_column}`").cast("long") == F.col(name), "left_anti")
+    gone = materialise(groups.where("not kept").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    maybe, others = split_by_ids(docs, id_column, gone)
+    return others.unionByName(maybe.join(gone, F.col(f"`{id_column}`").cast("long") == F.col(name), "left_anti"))
