@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mendwork.session import materialise
 
-from .common import bounded_sample, unused
+from .common import bounded_sample, split_by_ids, unused
 
 # Key-like characters; a run has a digit or a small letter before a capital.
 _CHARACTERS = "A-Za-z0-9+/_-"
@@ -194,9 +194,10 @@ def redact(docs: DataFrame, mask: str = "[secret]", id_column: str = "doc_id", t
     key, strings, text = unused(docs, "found_id"), unused(docs, "found"), F.col(f"`{text_column}`")
     secrets = secrets.select(F.col("doc_id").alias(key), F.transform(F.reverse(F.array_sort("s")), lambda x: x["candidate"]).alias(strings))
     secrets = materialise(secrets, "secrets")
-    joined = docs.join(secrets, F.col(f"`{id_column}`").cast("long") == F.col(key), "left")
+    maybe, others = split_by_ids(docs, id_column, secrets.select(key))
+    joined = maybe.join(secrets, F.col(f"`{id_column}`").cast("long") == F.col(key), "left")
     clean = F.aggregate(strings, text, lambda t, s: F.replace(t, s, F.lit(mask)))
     changed = {text_column: F.when(F.col(strings).isNull(), text).otherwise(clean)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col(strings).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast("long"))
-    return joined.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns))
+    return others.union(joined.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns)))
