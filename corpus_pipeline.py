@@ -14,6 +14,11 @@ from mendwork.llm.queries import EPOCHS, SEED, WEIGHTS
 from mendwork.session import materialise
 
 
+# Likeness in per cent from which documents are near-duplicates, and bands that miss 4 in 10,000 pairs at it.
+NEAR_PERCENT = 80
+NEAR_BANDS = 12
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a recognised language."""
     return language.keep_recognised(docs, language.fit(docs.where(~is_fold("doc_id", 4, 2))))
@@ -21,7 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near-duplicates."""
-    return near_dedup.deduplicate(docs)
+    return near_dedup.deduplicate(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -228,6 +228,21 @@ def test_pipeline_like_its_stages(spark):
     assert got == total
 
 
+def test_pipeline_drops_near_copies_from_80_per_cent(spark):
+    import corpus_pipeline
+    from test_similar import brute_groups
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    want = brute_groups(rows, 80)
+    # The table has pairs from 0.80 to below 0.85.
+    assert len(set(want.values())) < len(set(brute_groups(rows, 85).values()))
+    assert near_dedup.recall(0.80, bands=corpus_pipeline.NEAR_BANDS) > 0.999
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, folder).select("doc_id").collect()}
+    assert kept == {i for i, _ in rows if want.get(i, i) == i}
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
 
