@@ -1,12 +1,15 @@
 """Secret scan: candidate strings, and a random forest that removes false positives; no Python on rows.
 
-Candidates are runs of key-like characters with a digit, or with a capital inside a word. Each is described
+Candidates are runs of key-like characters with a digit, or with a capital inside a word; runs that begin like
+a provider's key; and whatever is assigned to a secret's name or stands in quotes after it. Each is described
 by its length, its character classes and their transitions, how much of it dictionary words cover, the
 document's path, and the neighbouring words. A random forest learns from labelled findings.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,6 +36,23 @@ FORMATS = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|AIza[
 SECRET_NAMES = r"(?i)(api[_-]?key|access[_-]?key|secret|token|passw(or)?d|pwd|credential|private[_-]?key|bearer|auth)"
 HARMLESS_NAMES = r"(?i)(sha(1|256|512)?|md5|checksum|commit|digest|hash|uuid|guid|version|order|invoice|phone|card|isbn)"
 MADE_UP = r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test)"
+# What stands where a value is missing or filled in later.
+NO_VALUE = r"(?i)^(null|none|nil|true|false|undefined|\*+|\$?\{.*\}|\$\(.*\)|<.*>|%\(?\w+\)?[%s])$"
+
+# A run that begins like a provider's key, whatever its characters.
+KNOWN = rf"(?<![A-Za-z0-9]){FORMATS[1:]}[{_CHARACTERS}]*+={{0,2}}"
+# A secret's name and what leads to its value (group 1), and the value: to the closing quote, or to a blank.
+_NAMES = re.sub(r"\((?!\?)", "(?:", SECRET_NAMES.removeprefix("(?i)"))
+_QUOTED = r"(?<=Q)(?:[^Q\\\n]|\\[^\n])++(?=Q)"
+_BARE = r"[^\s\"'`<>;&]*[^\s\"'`<>;&,.)\]}]"
+ASSIGNED = (
+    rf"((?i:{_NAMES})[A-Za-z0-9_-]*+[\"'`\])]*+[ \t]*+"
+    r"(?:(?::=|=>|==?|:(?!:))[ \t]*+(?i:(?:bearer|basic)[ \t]++)?[\"'`]?"
+    r"|(?=\"[^\"\n]+\"|'[^'\n]+'|`[^`\n]+`)[\"'`]))"
+    rf"(?:{'|'.join(_QUOTED.replace('Q', q) for q in ('"', "'", '`'))}|{_BARE})"
+)
+# Strings of this length are masked wherever they stand, shorter ones only after what stands before them.
+ANYWHERE = 16
 
 FEATURES = [
     "length", "digits", "capitals", "small", "symbols", "runs", "distinct", "turns", "dictionary", "hexadecimal",
@@ -47,27 +67,35 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{path_column}`").cast("string").alias("path"), text.alias("text"))
+    has_any = lambda x: x.rlike(CANDIDATE) | x.rlike(KNOWN) | x.rlike(ASSIGNED)
     lines = F.filter(
         F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("body"))),
-        lambda x: x["body"].rlike(CANDIDATE),
-    )
-    by_line = rows.where(F.col("text").rlike(CANDIDATE)).select("doc_id", "path", F.explode(lines).alias("l"))
-    # What lies between the candidates, and the candidates: together they are the line.
-    parts = by_line.select(
-        "doc_id",
-        "path",
-        F.col("l.line").alias("line"),
-        F.regexp_extract_all("l.body", F.lit(CANDIDATE), F.lit(0)).alias("found"),
-        F.split("l.body", CANDIDATE, -1).alias("gaps"),
-    )
-    pieces = F.expr(
-        f"""transform(found, (c, i) -> named_struct(
-            'candidate', c,
-            'start', aggregate(slice(gaps, 1, i + 1), 0, (a, g) -> a + length(g)) + aggregate(slice(found, 1, i), 0, (a, g) -> a + length(g)),
-            'before', right(gaps[i], {CONTEXT}),
-            'after', left(gaps[i + 1], {CONTEXT})))"""
+        lambda x: has_any(x["body"]),
     )
-    return parts.select("doc_id", "path", "line", F.explode(pieces).alias("p")).select("doc_id", "path", "line", "p.*")
+    by_line = rows.where(has_any(F.col("text"))).select("doc_id", "path", F.explode(lines).alias("l"))
+    # What lies between the matches of a pattern, and the matches: together they are the line.
+    body, parts = F.col("l.body"), ["doc_id", "path", F.col("l.line").alias("line")]
+    for kind, pattern in enumerate((CANDIDATE, KNOWN, ASSIGNED)):
+        found = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
+        leads = F.regexp_extract_all(body, F.lit(pattern), F.lit(1)) if pattern == ASSIGNED else F.transform(found, lambda x: F.lit(""))
+        parts += [found.alias(f"found{kind}"), leads.alias(f"leads{kind}"), F.split(body, pattern, -1).alias(f"gaps{kind}")]
+    pieces = [
+        F.expr(
+            f"""transform(found{k}, (c, i) -> named_struct(
+            'start', aggregate(slice(gaps{k}, 1, i + 1), 0, (a, g) -> a + length(g)) + aggregate(slice(found{k}, 1, i), 0, (a, g) -> a + length(g))
+                + length(leads{k}[i]),
+            'candidate', substring(c, length(leads{k}[i]) + 1),
+            'kind', {k},
+            'before', right(concat(gaps{k}[i], leads{k}[i]), {CONTEXT}),
+            'after', left(gaps{k}[i + 1], {CONTEXT})))"""
+        )
+        for k in range(3)
+    ]
+    # The same string at the same place counts once, as it was found first.
+    every = by_line.select(*parts).select("doc_id", "path", "line", F.array_sort(F.concat(*pieces)).alias("every"))
+    first = F.expr("filter(every, (x, i) -> i = 0 or every[i - 1].start != x.start or every[i - 1].candidate != x.candidate)")
+    found = every.select("doc_id", "path", "line", F.explode(first).alias("p"))
+    return found.select("doc_id", "path", "line", "p.candidate", "p.start", "p.before", "p.after")
 
 
 def dictionary(docs: DataFrame, least: int = DICTIONARY_COUNT, text_column: str = "text") -> DataFrame:
@@ -112,9 +140,9 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         one(last.rlike(SECRET_NAMES)).alias("named_before"),
         one(F.concat("before", "after").rlike(SECRET_NAMES)).alias("named_near"),
         one(last.rlike(HARMLESS_NAMES)).alias("harmless_before"),
-        one(F.col("before").rlike(r"[:=]\s*[\"']?$")).alias("assigned"),
-        one(F.col("before").rlike(r"[\"']$") & F.col("after").rlike(r"^[\"']")).alias("quoted"),
-        one(F.concat_ws(" ", c, last).rlike(MADE_UP)).alias("made_up"),
+        one(F.col("before").rlike(r"(?:[:=]|=>)\s*[\"'`]?$")).alias("assigned"),
+        one(F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]")).alias("quoted"),
+        one(F.concat_ws(" ", c, last).rlike(MADE_UP) | c.rlike(NO_VALUE)).alias("made_up"),
     )
     # Covered letters: letter runs of the candidate that are dictionary words.
     pieces = described.select(c, F.explode(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
@@ -129,10 +157,11 @@ def rule_labels(described: DataFrame) -> DataFrame:
     """Findings labelled by rules that are nearly always right; what they don't decide has no label.
 
     1: a provider's key shape, or a value assigned to a secret's name that isn't made up. 0: digits only, made-up
-    values, harmless names, and values without any sign of a secret that consist of words.
+    values, harmless names, values without any sign of a secret that consist of words, and bare words after a name.
     """
+    words = (F.col("quoted") == 0) & (F.col("digits") == 0) & (F.col("dictionary") >= 0.5) & (F.col("format") == 0)
     label = (
-        F.when(F.col("made_up") + F.col("harmless_before") > 0, 0)
+        F.when((F.col("made_up") + F.col("harmless_before") > 0) | words, 0)
         .when((F.col("format") == 1) | (F.col("named_before") == 1) & (F.col("assigned") == 1), 1)
         .when((F.col("digits") == 1) | (F.col("dictionary") >= 0.5), 0)
         .when((F.col("named_near") == 0) & (F.col("assigned") == 0) & (F.col("turns") >= 0.6) & (F.col("digits") < 0.2), 0)
@@ -173,14 +202,19 @@ def scan(docs: DataFrame, threshold: float = 0.5, bound: int = FIT_FINDINGS, **c
 
     Lines and starts count from 0, in characters. Without an id the ``doc_id`` is null; repeated rows give
     repeated findings. A missing or empty text, and an empty table, give none. Other columns are ignored.
+    Candidates may overlap: a value with other characters is one, and a key-like run inside it is another.
     """
+    return scored(docs, threshold, bound, **columns).drop("before")
+
+
+def scored(docs: DataFrame, threshold: float = 0.5, bound: int = FIT_FINDINGS, **columns: str) -> DataFrame:
+    """``scan`` with ``before``, what stands before the candidate in its line."""
     found = materialise(candidates(docs, **columns), "secret-candidates")
     text = {k: v for k, v in columns.items() if k == "text_column"}
     described = materialise(rule_labels(describe(found, dictionary(docs, **text))), "secret-features")
-    scored = score(described, fit_forest(described, bound))
-    return scored.select(
-        "doc_id", "line", "start", F.length("candidate").alias("length"), "candidate", "score", (F.col("score") >= threshold).cast("int").alias("predicted")
-    )
+    judged = score(described, fit_forest(described, bound))
+    predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
+    return judged.select("doc_id", "line", "start", F.length("candidate").alias("length"), "candidate", "score", predicted, "before")
 
 
 def redact(docs: DataFrame, mask: str = "[secret]", id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -188,15 +222,19 @@ def redact(docs: DataFrame, mask: str = "[secret]", id_column: str = "doc_id", t
 
     ``n_chars``, if there is such a column, is counted anew where a text changes.
     """
-    found = scan(docs, id_column=id_column, text_column=text_column, **options)
-    # Longer ones first, so that one that holds another is replaced as a whole.
-    secrets = found.where("predicted = 1 and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("length", "candidate")).alias("s"))
+    found = scored(docs, id_column=id_column, text_column=text_column, **options)
+    secrets = found.where("predicted = 1 and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("length", "candidate", "before")).alias("s"))
     key, strings, text = unused(docs, "found_id"), unused(docs, "found"), F.col(f"`{text_column}`")
-    secrets = secrets.select(F.col("doc_id").alias(key), F.transform(F.reverse(F.array_sort("s")), lambda x: x["candidate"]).alias(strings))
+    # One pattern per document, longer strings first, so that one that holds another is replaced as a whole.
+    literal = lambda x: F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+    one = lambda x: F.when(x["length"] >= ANYWHERE, literal(x["candidate"])).otherwise(
+        F.concat(F.lit("(?<="), literal(x["before"]), F.lit(")"), literal(x["candidate"]))
+    )
+    secrets = secrets.select(F.col("doc_id").alias(key), F.array_join(F.transform(F.reverse(F.array_sort("s")), one), "|").alias(strings))
     secrets = materialise(secrets, "secrets")
     maybe, others = split_by_ids(docs, id_column, secrets.select(key))
     joined = maybe.join(secrets, F.col(f"`{id_column}`").cast("long") == F.col(key), "left")
-    clean = F.aggregate(strings, text, lambda t, s: F.replace(t, s, F.lit(mask)))
+    clean = F.regexp_replace(text, F.col(strings), F.lit(re.sub(r"([\\$])", r"\\\1", mask)))
     changed = {text_column: F.when(F.col(strings).isNull(), text).otherwise(clean)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col(strings).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast("long"))
