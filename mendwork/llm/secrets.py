@@ -35,10 +35,15 @@ FORMATS = r"^(AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|AIza[
 # Names that secrets are given to, names of harmless values, and words of made-up values.
 SECRET_NAMES = r"(?i)(api[_-]?key|access[_-]?key|secret|token|passw(or)?d|pwd|credential|private[_-]?key|bearer|auth)"
 HARMLESS_NAMES = r"(?i)(sha(1|256|512)?|md5|checksum|commit|digest|hash|uuid|guid|version|order|invoice|phone|card|isbn)"
+# Words that end a part of a name, and the parts and pairs of parts, that say that a value is secret.
+SECRET_PARTS = r"(^|_)([a-z]*(secret|token|passw(or)?d|pwd|credential|apikey|accesskey|privatekey)s?|(o?auth|bearer)|(api|access|private)_keys?)[0-9]*(_|$)"
 MADE_UP = r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test)"
 # What stands where a value is missing or filled in later.
 NO_VALUE = r"(?i)^(null|none|nil|true|false|undefined|\*+|\$?\{.*\}|\$\(.*\)|<.*>|%\(?\w+\)?[%s])$"
 
+# Names of harmless and made-up values as whole parts of a name.
+HARMLESS_PARTS = rf"(^|_)({HARMLESS_NAMES.removeprefix('(?i)')}|{MADE_UP.removeprefix('(?i)')})(s|es|id|no|num|number|sum|code|value)?[0-9]*(_|$)"
+
 # A run that begins like a provider's key, whatever its characters.
 KNOWN = rf"(?<![A-Za-z0-9]){FORMATS[1:]}[{_CHARACTERS}]*+={{0,2}}"
 # A secret's name and what leads to its value (group 1), and the value: to the closing quote, or to a blank.
@@ -56,7 +61,7 @@ ANYWHERE = 16
 
 FEATURES = [
     "length", "digits", "capitals", "small", "symbols", "runs", "distinct", "turns", "dictionary", "hexadecimal",
-    "format", "path_depth", "path_example", "path_config", "named_before", "named_near", "harmless_before", "assigned", "quoted", "made_up",
+    "format", "path_depth", "path_example", "path_config", "named_before", "named_near", "harmless_before", "secret_part", "assigned", "quoted", "made_up",
 ]
 
 
@@ -110,6 +115,12 @@ def share(column: str, unwanted: str) -> Column:
     return F.length(F.regexp_replace(column, unwanted, "")) / F.length(column)
 
 
+def name_parts(name: Column) -> Column:
+    """The name in small letters, with one _ between its parts: it is cut at _, - and case changes."""
+    cut = F.regexp_replace(F.regexp_replace(name, "([a-z0-9])([A-Z])", "$1_$2"), "([A-Z])([A-Z][a-z])", "$1_$2")
+    return F.lower(F.regexp_replace(cut, "[_-]+", "_"))
+
+
 def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     """The features of ``candidates``, as numbers; nothing here looks at other rows but the dictionary."""
     c = F.col("candidate")
@@ -122,6 +133,7 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     one = lambda condition: F.coalesce(condition, F.lit(False)).cast("double")
     path = F.coalesce("path", F.lit(""))
     last = F.regexp_extract("before", r"([A-Za-z0-9_-]+)[^A-Za-z0-9_-]*$", 1)
+    parts = name_parts(last)
     described = found.select(
         "*",
         F.length(c).cast("double").alias("length"),
@@ -139,10 +151,11 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         one(path.rlike(r"(?i)(\.env|conf|\.ini|\.ya?ml|\.json|\.pem|prop)")).alias("path_config"),
         one(last.rlike(SECRET_NAMES)).alias("named_before"),
         one(F.concat("before", "after").rlike(SECRET_NAMES)).alias("named_near"),
-        one(last.rlike(HARMLESS_NAMES)).alias("harmless_before"),
+        one(parts.rlike(HARMLESS_PARTS)).alias("harmless_before"),
+        one(parts.rlike(SECRET_PARTS)).alias("secret_part"),
         one(F.col("before").rlike(r"(?:[:=]|=>)\s*[\"'`]?$")).alias("assigned"),
         one(F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]")).alias("quoted"),
-        one(F.concat_ws(" ", c, last).rlike(MADE_UP) | c.rlike(NO_VALUE)).alias("made_up"),
+        one(c.rlike(MADE_UP) | c.rlike(NO_VALUE)).alias("made_up"),
     )
     # Covered letters: letter runs of the candidate that are dictionary words.
     pieces = described.select(c, F.explode(F.regexp_extract_all(F.lower(c), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
@@ -156,13 +169,17 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
 def rule_labels(described: DataFrame) -> DataFrame:
     """Findings labelled by rules that are nearly always right; what they don't decide has no label.
 
-    1: a provider's key shape, or a value assigned to a secret's name that isn't made up. 0: digits only, made-up
-    values, harmless names, values without any sign of a secret that consist of words, and bare words after a name.
+    1: a provider's key shape, or a value assigned to a secret's name, that isn't made up. 0: made-up values, bare
+    words after a name, values of harmless names, digits only, and values without any sign of a secret that
+    consist of words. A name that only holds a secret's name, like "author", decides for values with digits alone.
+    A key shape and an assigned part like "token" win over a harmless part of the same name.
     """
     words = (F.col("quoted") == 0) & (F.col("digits") == 0) & (F.col("dictionary") >= 0.5) & (F.col("format") == 0)
     label = (
-        F.when((F.col("made_up") + F.col("harmless_before") > 0) | words, 0)
-        .when((F.col("format") == 1) | (F.col("named_before") == 1) & (F.col("assigned") == 1), 1)
+        F.when((F.col("made_up") == 1) | words, 0)
+        .when((F.col("format") == 1) | (F.col("secret_part") == 1) & (F.col("assigned") == 1), 1)
+        .when(F.col("harmless_before") == 1, 0)
+        .when((F.col("named_before") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0), 1)
         .when((F.col("digits") == 1) | (F.col("dictionary") >= 0.5), 0)
         .when((F.col("named_near") == 0) & (F.col("assigned") == 0) & (F.col("turns") >= 0.6) & (F.col("digits") < 0.2), 0)
     )
