@@ -27,7 +27,8 @@ CANDIDATE = (
 )
 CONTEXT = 40
 FIT_FINDINGS = 20_000
-DICTIONARY_COUNT = 50
+# A dictionary word stands in so many of a thousand distinct texts, and in two at least.
+DICTIONARY_PER_MILLE = 10
 TREES, DEPTH, SEED = 20, 6, 2
 
 # Public shapes of provider keys.
@@ -103,11 +104,26 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return found.select("doc_id", "path", "line", "p.candidate", "p.start", "p.before", "p.after")
 
 
-def dictionary(docs: DataFrame, least: int = DICTIONARY_COUNT, text_column: str = "text") -> DataFrame:
-    """Small-letter words of three letters or more that stand in the texts at least ``least`` times."""
-    words = F.explode(F.split(F.lower(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))), "[^a-z]+"))
-    counted = docs.select(words.alias("word")).where(F.length("word") >= 3).groupBy("word").agg(F.count("*").alias("n"))
-    return counted.where(F.col("n") >= least).select("word")
+def dictionary(docs: DataFrame, per_mille: int = DICTIONARY_PER_MILLE, text_column: str = "text") -> DataFrame:
+    """Small-letter words of three letters or more that stand in at least this share of the distinct texts, and in two.
+
+    Candidates are taken out first, so a secret's letters are no words however often it is repeated; copies
+    of a text count once. Only texts whose hash occurs again are moved, to compare them in full.
+    """
+    text = docs.select(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")).alias("text")).where("text != ''")
+    text = text.withColumn("hash", F.xxhash64("text"))
+    again = materialise(text.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated-texts")
+    maybe, others = split_by_ids(text, "hash", again)
+    distinct = others.select("text").union(maybe.select("text").distinct())
+    clean = F.col("text")
+    for pattern, instead in ((ASSIGNED, "$1 "), (KNOWN, " "), (CANDIDATE, " ")):
+        clean = F.regexp_replace(clean, pattern, instead)
+    # The empty word stands for the text itself.
+    words = F.array_distinct(F.filter(F.split(F.lower(clean), "[^a-z]+"), lambda x: F.length(x) >= 3))
+    counted = distinct.select(F.explode(F.concat(F.array(F.lit("")), words)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counted = materialise(counted, "word-counts")
+    texts = F.broadcast(counted.where("word = ''").select(F.col("n").alias("texts")))
+    return counted.where("word != ''").crossJoin(texts).where((F.col("n") >= 2) & (1000 * F.col("n") >= per_mille * F.col("texts"))).select("word")
 
 
 def share(column: str, unwanted: str) -> Column:
