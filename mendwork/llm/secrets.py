@@ -66,21 +66,31 @@ FEATURES = [
 ]
 
 
+def text_key(id_column: str, text_column: str) -> Column:
+    """A row's id; without one, a hash of its text, so that its findings can be told from those of other rows."""
+    return F.coalesce(F.col(f"`{id_column}`").cast("long"), F.xxhash64(F.col(f"`{text_column}`").cast("string")))
+
+
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str = "source") -> DataFrame:
-    """One row per candidate: doc_id, path, line and start (both from 0), the string, and what stands around it.
+    """One row per candidate: doc_id, text_key, path, line and start (both from 0), the string, and what stands around it.
 
     Texts are cut into lines, so a candidate's place costs no more than its line. Missing texts have none.
     """
     text = F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit(""))
-    rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{path_column}`").cast("string").alias("path"), text.alias("text"))
+    rows = docs.select(
+        F.col(f"`{id_column}`").cast("long").alias("doc_id"),
+        text_key(id_column, text_column).alias("text_key"),
+        F.col(f"`{path_column}`").cast("string").alias("path"),
+        text.alias("text"),
+    )
     has_any = lambda x: x.rlike(CANDIDATE) | x.rlike(KNOWN) | x.rlike(ASSIGNED)
     lines = F.filter(
         F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("body"))),
         lambda x: has_any(x["body"]),
     )
-    by_line = rows.where(has_any(F.col("text"))).select("doc_id", "path", F.explode(lines).alias("l"))
+    by_line = rows.where(has_any(F.col("text"))).select("doc_id", "text_key", "path", F.explode(lines).alias("l"))
     # What lies between the matches of a pattern, and the matches: together they are the line.
-    body, parts = F.col("l.body"), ["doc_id", "path", F.col("l.line").alias("line")]
+    body, parts = F.col("l.body"), ["doc_id", "text_key", "path", F.col("l.line").alias("line")]
     for kind, pattern in enumerate((CANDIDATE, KNOWN, ASSIGNED)):
         found = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
         leads = F.regexp_extract_all(body, F.lit(pattern), F.lit(1)) if pattern == ASSIGNED else F.transform(found, lambda x: F.lit(""))
@@ -98,10 +108,10 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         for k in range(3)
     ]
     # The same string at the same place counts once, as it was found first.
-    every = by_line.select(*parts).select("doc_id", "path", "line", F.array_sort(F.concat(*pieces)).alias("every"))
+    every = by_line.select(*parts).select("doc_id", "text_key", "path", "line", F.array_sort(F.concat(*pieces)).alias("every"))
     first = F.expr("filter(every, (x, i) -> i = 0 or every[i - 1].start != x.start or every[i - 1].candidate != x.candidate)")
-    found = every.select("doc_id", "path", "line", F.explode(first).alias("p"))
-    return found.select("doc_id", "path", "line", "p.candidate", "p.start", "p.before", "p.after")
+    found = every.select("doc_id", "text_key", "path", "line", F.explode(first).alias("p"))
+    return found.select("doc_id", "text_key", "path", "line", "p.candidate", "p.start", "p.before", "p.after")
 
 
 def dictionary(docs: DataFrame, per_mille: int = DICTIONARY_PER_MILLE, text_column: str = "text") -> DataFrame:
@@ -237,38 +247,40 @@ def scan(docs: DataFrame, threshold: float = 0.5, bound: int = FIT_FINDINGS, **c
     repeated findings. A missing or empty text, and an empty table, give none. Other columns are ignored.
     Candidates may overlap: a value with other characters is one, and a key-like run inside it is another.
     """
-    return scored(docs, threshold, bound, **columns).drop("before")
+    return scored(docs, threshold, bound, **columns).drop("text_key", "before")
 
 
 def scored(docs: DataFrame, threshold: float = 0.5, bound: int = FIT_FINDINGS, **columns: str) -> DataFrame:
-    """``scan`` with ``before``, what stands before the candidate in its line."""
+    """``scan`` with ``text_key`` and with ``before``, what stands before the candidate in its line."""
     found = materialise(candidates(docs, **columns), "secret-candidates")
     text = {k: v for k, v in columns.items() if k == "text_column"}
     described = materialise(rule_labels(describe(found, dictionary(docs, **text))), "secret-features")
     judged = score(described, fit_forest(described, bound))
     predicted = (F.col("score") >= threshold).cast("int").alias("predicted")
-    return judged.select("doc_id", "line", "start", F.length("candidate").alias("length"), "candidate", "score", predicted, "before")
+    return judged.select("doc_id", "line", "start", F.length("candidate").alias("length"), "candidate", "score", predicted, "text_key", "before")
 
 
 def redact(docs: DataFrame, mask: str = "[secret]", id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with every predicted secret of a document replaced in its text; same columns and rows.
 
+    Rows without an id are told apart by a hash of their text, so their secrets are masked like any others.
     ``n_chars``, if there is such a column, is counted anew where a text changes.
     """
     found = scored(docs, id_column=id_column, text_column=text_column, **options)
-    secrets = found.where("predicted = 1 and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("length", "candidate", "before")).alias("s"))
+    secrets = found.where("predicted = 1").groupBy("text_key").agg(F.collect_set(F.struct("length", "candidate", "before")).alias("s"))
     key, strings, text = unused(docs, "found_id"), unused(docs, "found"), F.col(f"`{text_column}`")
     # One pattern per document, longer strings first, so that one that holds another is replaced as a whole.
     literal = lambda x: F.concat(F.lit("\\Q"), F.replace(x, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
     one = lambda x: F.when(x["length"] >= ANYWHERE, literal(x["candidate"])).otherwise(
         F.concat(F.lit("(?<="), literal(x["before"]), F.lit(")"), literal(x["candidate"]))
     )
-    secrets = secrets.select(F.col("doc_id").alias(key), F.array_join(F.transform(F.reverse(F.array_sort("s")), one), "|").alias(strings))
+    secrets = secrets.select(F.col("text_key").alias(key), F.array_join(F.transform(F.reverse(F.array_sort("s")), one), "|").alias(strings))
     secrets = materialise(secrets, "secrets")
-    maybe, others = split_by_ids(docs, id_column, secrets.select(key))
-    joined = maybe.join(secrets, F.col(f"`{id_column}`").cast("long") == F.col(key), "left")
+    own = unused(docs, "text_key")
+    maybe, others = split_by_ids(docs.withColumn(own, text_key(id_column, text_column)), own, secrets.select(key))
+    joined = maybe.join(secrets, F.col(own) == F.col(key), "left")
     clean = F.regexp_replace(text, F.col(strings), F.lit(re.sub(r"([\\$])", r"\\\1", mask)))
     changed = {text_column: F.when(F.col(strings).isNull(), text).otherwise(clean)}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col(strings).isNull(), F.col("n_chars")).otherwise(F.length(clean).cast("long"))
-    return others.union(joined.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns)))
+    return others.drop(own).union(joined.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns)))

@@ -240,3 +240,16 @@ def test_dictionary_is_alike_for_copies_and_sizes(spark):
     assert words <= found and found.isdisjoint({"qwzk", "vbnmxcpl", "rtg", "hjkd", "dvtq"})
     found = {r.doc_id: r.score for r in secrets.scan(documents(spark, texts + [texts[-2]] * 100)).collect() if r.candidate == secret}
     assert len(set(found.values())) == 1
+
+
+def test_secrets_without_an_id_are_masked(spark):
+    rows = [(i, line, "en", "src1", len(line), None, None, None, None) for i, line in [(20, SECRET_LINES[0]), (None, SECRET_LINES[1]), (None, SECRET_LINES[2])]]
+    docs = frame(spark, awkward_rows() + rows)
+    assert secrets.scan(docs).where("predicted = 1").count() == 3
+    clean = secrets.redact(docs)
+    assert clean.columns == docs.columns
+    masked = [r for r in clean.collect() if "[secret]" in (r.text or "")]
+    assert sorted((r.doc_id or 0, r.text, r.n_chars) for r in masked) == sorted(
+        (i, t, len(t)) for i, t in [(20, 'token = "[secret]" and more'), (0, "key [secret] here"), (0, "password=[secret] enes")]
+    )
+    assert clean.count() == docs.count()
