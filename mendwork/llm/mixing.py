@@ -65,17 +65,22 @@ def leaf_amounts(
     """
     if budget is None:
         budget = leaves.agg(F.sum("tokens")).first()[0] or 0
+    def weight(level: str) -> Column:
+        out = F.lit(1).cast("long")
+        for name, value in weights.get(level, {}).items():
+            out = F.when(F.col(level) == name, F.lit(int(value)).cast("long")).otherwise(out)
+        return out
+
+    # What lies below a node of weight 0 gets nothing, so it adds nothing to a parent's capacity.
+    for level in LEVELS:
+        leaves = leaves.where(weight(level) > 0)
     budgets = None
     for depth, level in enumerate(LEVELS):
         path, parents = LEVELS[: depth + 1], LEVELS[:depth]
         nodes = leaves.groupBy(*path).agg(F.sum("tokens").alias("tokens"))
-        given = weights.get(level, {})
-        weight = F.lit(1).cast("long")
-        for name, value in given.items():
-            weight = F.when(F.col(level) == name, F.lit(int(value)).cast("long")).otherwise(weight)
-        nodes = nodes.withColumn("weight", weight).withColumn("capacity", F.col("tokens") * max_epochs).withColumn("node", F.col(level))
+        nodes = nodes.withColumn("weight", weight(level)).withColumn("capacity", F.col("tokens") * max_epochs).withColumn("node", F.col(level))
         nodes = nodes.join(budgets, parents) if parents else nodes.withColumn("budget", F.lit(int(budget)).cast("long"))
-        amounts = split_budget(nodes.where("weight > 0"), parents)
+        amounts = split_budget(nodes, parents)
         budgets = amounts.select(*path, F.col("amount").alias("budget"))
     return leaves.join(budgets.withColumnRenamed("budget", "amount"), LEVELS)
 

@@ -135,6 +135,14 @@ def test_shortage_goes_to_siblings_first(spark):
     assert {(r.domain, r.origin): r["count"] for r in got} == {("domain0", "src0"): 1, ("domain0", "src4"): 19, ("domain1", "src1"): 20}
 
 
+def test_weight_of_0_below_the_top_leaves_no_budget_unused(spark):
+    # domain0 is nearly all French, which has weight 0; what it can't use goes to domain1.
+    docs = documents(spark, ["w " * 10] * 60)
+    docs = docs.selectExpr("doc_id", "text", "if(doc_id < 28, 'fr', 'en') AS lang", "if(doc_id < 30, 'src0', 'src1') AS source")
+    got = mixing.mix(docs, weights={"language": {"fr": 0}}, budget=200, max_epochs=1).groupBy("domain", "language").count().collect()
+    assert {(r.domain, r.language): r["count"] for r in got} == {("domain0", "en"): 2, ("domain1", "en"): 18}
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix(frame(spark, [])).count() == 0
 
