@@ -116,14 +116,21 @@ def is_fold(column: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.pmod(checksum, F.lit(modulus)) == remainder, F.lit(False))
 
 
-def bounded_sample(df: DataFrame, key: str, bound: int, seed: int = 17) -> DataFrame:
+def bounded_sample(df: DataFrame, key: str, bound: int, seed: int = 17, kind: str | None = None, least: int = 0) -> DataFrame:
     """About ``bound`` rows at most, chosen by a hash of the key: no sort, no single task.
 
-    Used to fit classifiers only; everything is kept while there are no more rows than that.
+    Used to fit classifiers only; everything is kept while there are no more rows than that. Of each value of
+    the column ``kind`` about ``least`` rows are kept beyond that, or all if there are fewer.
     """
     rows = df.count()
     if rows <= bound:
         return df
-    share = bound / rows
+    share = F.lit(int(bound / rows * (1 << 30)))
+    if kind:
+        # Only kinds with more rows than ``least`` come to the driver.
+        many = df.groupBy(F.col(f"`{kind}`").alias("kind")).agg(F.count("*").alias("n")).where(F.col("n") > least).collect()
+        share = F.lit(1 << 30)
+        for r in many:
+            share = F.when(F.col(f"`{kind}`").eqNullSafe(F.lit(r.kind)), int(max(bound / rows, least / r.n) * (1 << 30))).otherwise(share)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), F.lit(1 << 30))
-    return df.where(draw < int(share * (1 << 30)))
+    return df.where(draw < share)

@@ -168,18 +168,20 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = FIT_DOCUMENTS, id_colum
     """Fit on at most about ``bound`` labelled documents, chosen by a hash of the id; None if there are none.
 
     Their features are computed by Spark; the bounded table of features is what the driver trains on.
-    An id with several labels counts as labelled 1 if most of them are.
+    An id that rows repeat counts once, and a rare label keeps a tenth of the bound, or all it has. An id with several labels counts as labelled 1 if most of them are.
     """
     named = labels.where(F.col(f"`{id_column}`").isNotNull() & F.col(f"`{label_column}`").isNotNull())
     named = named.groupBy(F.col(f"`{id_column}`").cast("long").alias("_id")).agg((F.avg(label_column) >= 0.5).cast("int").alias("_label"))
-    named = bounded_sample(named, "_id", bound)
+    named = bounded_sample(named, "_id", bound, kind="_label", least=bound // 10)
     texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("_id"), utf8(text_column).alias("text"))
 
     def work(lists: dict[str, list]) -> dict[str, list]:
         made = [features(t) for t in lists["text"]]
         return {"id": lists["_id"], "label": lists["_label"], "numbers": [n.tolist() for n, _ in made], "values": [v.tolist() for _, v in made]}
 
-    found = map_rows(texts.join(F.broadcast(named), "_id"), work, "id long, label int, numbers array<int>, values array<float>", SLICE_ROWS)
+    # Rows that repeat an id are one document.
+    once = texts.join(F.broadcast(named), "_id").groupBy("_id", "_label").agg(F.max("text").alias("text"))
+    found = map_rows(once, work, "id long, label int, numbers array<int>, values array<float>", SLICE_ROWS)
     table = found.toArrow().sort_by("id")
     if not table.num_rows:
         return None

@@ -128,13 +128,13 @@ class Model:
 
 
 def fit(docs: DataFrame, bound: int = FIT_DOCUMENTS, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang") -> Model | None:
-    """Fit on at most about ``bound`` documents with a language, chosen by a hash of the id.
+    """Fit on at most about ``bound`` documents of each language, chosen by a hash of the id.
 
     Each task counts its words first and n-grams once per distinct word; what reaches the driver is the table
     of buckets and languages, whose size the data do not change. Nothing to learn from gives None.
     """
     rows = docs.where(F.col(f"`{lang_column}`").isNotNull() & F.col(f"`{text_column}`").isNotNull())
-    rows = bounded_sample(rows.select(id_column, text_column, lang_column), id_column, bound)
+    rows = bounded_sample(rows.select(id_column, text_column, lang_column), id_column, bound, kind=lang_column, least=bound)
 
     def count(lists: dict[str, list]) -> dict[str, list]:
         words: dict[str, dict[bytes, int]] = {}

@@ -215,13 +215,14 @@ def rule_labels(described: DataFrame) -> DataFrame:
 def fit_forest(labelled: DataFrame, bound: int = FIT_FINDINGS):
     """A forest from findings with a ``label`` of 0 or 1, at most about ``bound`` of them, chosen by a hash.
 
-    With one kind of label only that label (as a number) is returned, with none at all 0.
+    A rare label keeps a tenth of the bound, or all it has. With one kind of label only that label (as a number) is returned, with none at all 0.
     """
     rows = labelled.where("label is not null").withColumn("_key", F.xxhash64("doc_id", "line", "start", "candidate"))
+    rows = bounded_sample(rows, "_key", bound, kind="label", least=bound // 10)
     kinds = [r.label for r in rows.select("label").distinct().collect()]
     if len(kinds) < 2:
         return float(kinds[0]) if kinds else 0.0
-    rows = bounded_sample(rows, "_key", bound).select(*FEATURES, F.col("label").cast("double"))
+    rows = rows.select(*FEATURES, F.col("label").cast("double"))
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt"
     )

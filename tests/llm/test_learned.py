@@ -253,3 +253,32 @@ def test_secrets_without_an_id_are_masked(spark):
         (i, t, len(t)) for i, t in [(20, 'token = "[secret]" and more'), (0, "key [secret] here"), (0, "password=[secret] enes")]
     )
     assert clean.count() == docs.count()
+
+
+def test_samples_keep_rare_kinds(spark):
+    rows = spark.range(20_000).withColumn("kind", F.when(F.col("id") < 30, "rare").otherwise("common"))
+    got = {r.kind: r["count"] for r in bounded_sample(rows, "id", 1000, kind="kind", least=100).groupBy("kind").count().collect()}
+    assert got["rare"] == 30 and 700 < got["common"] < 1300
+    got = {r.kind: r["count"] for r in bounded_sample(rows, "id", 1000, kind="kind", least=10).groupBy("kind").count().collect()}
+    assert 0 < got["rare"] <= 30
+
+    docs = documents(spark, [text(i, EN, 20) for i in range(600)] + [text(i, FR, 20) for i in range(4)])
+    train = docs.withColumn("lang", F.when(F.col("doc_id") < 600, "en").otherwise("fr"))
+    assert language.fit(train, bound=50).languages == ["en", "fr"]
+
+
+def test_forest_has_both_kinds_of_a_rare_label(spark):
+    rows = spark.range(3000).withColumn("label", (F.col("id") == 7).cast("int"))
+    rows = rows.select("label", F.col("id").alias("doc_id"), F.lit(0).alias("line"), F.lit(0).alias("start"), F.lit("x").alias("candidate"),
+                       *(F.col("label").cast("double").alias(f) for f in secrets.FEATURES))
+    scored = secrets.score(rows, secrets.fit_forest(rows, bound=50))
+    assert scored.where("label = 1").first().score > scored.where("label = 0").first().score
+
+
+def test_quality_counts_a_repeated_id_once(spark):
+    texts = [text(i, EN if i % 2 else FR, 20) for i in range(20)]
+    once = documents(spark, texts).repartition(1)
+    labels = once.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    again = once.union(once.where("doc_id = 3").crossJoin(spark.range(50)).drop("id"))
+    one, two = (factorisation.fit(d, labels) for d in (once, again))
+    assert one.bias == two.bias and np.array_equal(one.weights, two.weights)
