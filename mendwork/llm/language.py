@@ -206,8 +206,13 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
     return labels
 
 
-def predict(texts: list[bytes], model: Model | None, name: str, penalty: float, keep_spans: bool = False) -> tuple[list[str], list[float], list]:
-    """Languages, scores and spans of texts; ``name`` tells the model apart in the worker's memo."""
+def predict(
+    texts: list[bytes], model: Model | None, name: str, penalty: float, keep_spans: bool = False, by_span: bool = False
+) -> tuple[list[str], list[float], list]:
+    """Languages, scores and spans of texts; ``name`` tells the model apart in the worker's memo.
+
+    With ``by_span`` each word counts with the share of its own span's language, not of the text's.
+    """
     n = len(texts)
     labels_out, scores_out, spans_out = ["und"] * n, [0.0] * n, [[] for _ in range(n)]
     if model is None:
@@ -242,7 +247,8 @@ def predict(texts: list[bytes], model: Model | None, name: str, penalty: float,
         if weight.any():
             best = int(np.bincount(own, weights=weight, minlength=len(languages)).argmax())
             chance = np.exp(word_scores[begin : begin + length])
-            sure = (chance[:, best] / chance.sum(axis=1)) @ weight / weight.sum()
+            judged = chance[np.arange(length), own] if by_span else chance[:, best]
+            sure = (judged / chance.sum(axis=1)) @ weight / weight.sum()
             labels_out[i] = languages[best]
             scores_out[i] = float(min(1.0, max(0.0, sure)))
             if keep_spans:
@@ -283,9 +289,11 @@ def detect(
 
 
 def keep_recognised(docs: DataFrame, model: Model | None, least: float = 0.3, penalty: float = SWITCH, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a recognised language whose score is at least ``least``; same columns.
+    """The rows of ``docs`` whose languages are recognised; same columns.
 
-    Rows without text or letters go. Rows are filtered where they are read, so nothing is joined or moved.
+    A text is judged by how sure its labelled spans are: the mean share of each span's own language, weighted by
+    letters, has to be at least ``least``, however many languages it mixes. Rows without text or letters go.
+    Without a model nothing can be recognised, and all texts with letters stay. Rows are filtered where they are read, so nothing is joined or moved.
     """
     name = uuid.uuid4().hex
     at = docs.columns.index(text_column)
@@ -297,7 +305,10 @@ def keep_recognised(docs: DataFrame, model: Model | None, least: float = 0.3, pe
             for begin in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(begin, SLICE_ROWS)
                 texts = [(t or "").encode("utf-8") for t in part.column(at).to_pylist()]
-                labels, scores, _ = predict(texts, model, name, penalty)
+                if model is None:
+                    yield part.filter(pa.array([any(letters_of(w.decode("utf-8")) for w in t.split()) for t in texts]))
+                    continue
+                labels, scores, _ = predict(texts, model, name, penalty, by_span=True)
                 yield part.filter(pa.array([a != "und" and b >= least for a, b in zip(labels, scores, strict=True)]))
 
     return docs.mapInArrow(run, docs.schema)

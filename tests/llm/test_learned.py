@@ -282,3 +282,13 @@ def test_quality_counts_a_repeated_id_once(spark):
     again = once.union(once.where("doc_id = 3").crossJoin(spark.range(50)).drop("id"))
     one, two = (factorisation.fit(d, labels) for d in (once, again))
     assert one.bias == two.bias and np.array_equal(one.weights, two.weights)
+
+
+def test_clean_mixtures_are_recognised(spark):
+    words = [EN, FR, "привет мир это они были".split(), "καλημέρα κόσμε αυτό είναι εδώ".split()]
+    train = documents(spark, [" ".join(w * 5) for w in words]).withColumn("lang", F.col("doc_id").cast("string"))
+    mixed = documents(spark, [" ".join(" ".join((w * 30)[: 1200 // len("".join(w[:5]))]) for w in words), "12 34", None])
+    model = language.fit(train)
+    assert [r.doc_id for r in language.keep_recognised(mixed, model, least=0.7).collect()] == [0]
+    assert language.detect(mixed.where("doc_id = 0"), model).first().score < 0.7
+    assert sorted(r.doc_id for r in language.keep_recognised(mixed, None).collect()) == [0]
