@@ -212,7 +212,7 @@ def test_pipeline_like_its_stages(spark):
     # Plain versions of what follows: the smallest id of each group, masked strings, the mix, all tokens.
     texts = {r.doc_id: r for r in recognised.collect()}
     assert len(texts) >= 0.97 * docs.count()
-    groups = near_dedup.near_groups(recognised).collect()
+    groups = near_dedup.near_groups(recognised, percent=corpus_pipeline.NEAR_PERCENT, bands=corpus_pipeline.NEAR_BANDS).collect()
     texts = {r.doc_id: texts[r.doc_id] for r in groups if r.doc_id == r.component_id}
     kept = recognised.where(recognised.doc_id.isin(list(texts)))
     found = [r for r in secrets.scan(kept).collect() if r.predicted]
