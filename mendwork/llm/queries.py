@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import factorisation, language, licenses, mixing, near_dedup, packing, secrets, simhash, token_counts, vantage
+from . import (
+    factorisation,
+    hard_negatives,
+    language,
+    licenses,
+    mixing,
+    near_dedup,
+    packing,
+    secrets,
+    simhash,
+    spelling,
+    token_counts,
+    vantage,
+    vector_dedup,
+)
 from .common import is_fold
 
 WEIGHTS = {
@@ -16,6 +30,8 @@ WEIGHTS = {
 }
 EPOCHS = 2
 SEED = 9
+# In the query of spelling variants, words whose checksum it divides lose a letter.
+SLIP_EVERY = 199
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +96,20 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"), slip_every=SLIP_EVERY)
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved))
+
+
+def op13_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.vector_groups(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +123,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_source_mixing,
         op10_license_scan,
+        op11_spelling_variants,
+        op12_hard_negatives,
+        op13_near_vectors,
     )
 }
 
@@ -188,4 +221,77 @@ SQL: dict[str, str] = {
     )
     SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
     """,
+    "op11_spelling_variants": rf"""
+    WITH RECURSIVE runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+        FROM documents
+    ), counted AS (
+        SELECT run, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS named FROM runs GROUP BY doc_id, run
+    ), bytes AS (
+        SELECT run, n, flatten(list_transform(list_transform(range(1, length(named) + 1), lambda i: unicode(named[i])),
+                                              lambda c: CASE WHEN c < 128 THEN [c] ELSE [192 + (c >> 6), 128 + (c & 63)] END)) AS b
+        FROM counted
+    ), checked AS (
+        SELECT run, n, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(b, lambda x: CAST(x AS BIGINT))), lambda crc, x:
+            list_reduce([xor(crc, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, zero: xor(r >> 1, 3988292384 * (r & 1)))), 4294967295) AS h
+        FROM bytes
+    ), slipped AS (
+        SELECT CASE WHEN h % {SLIP_EVERY} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM checked
+    ), vocabulary AS (
+        SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+    ), holes AS (
+        SELECT word, i, substr(word, 1, i - 1) AS before, substr(word, i + 1) AS after
+        FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)
+    ), shorter AS (
+        SELECT DISTINCT h.word, v.word AS near FROM holes h JOIN vocabulary v ON v.word = h.before || h.after
+    ), near AS (
+        SELECT a.word, b.word AS near FROM holes a JOIN holes b ON a.i = b.i AND a.before = b.before AND a.after = b.after AND a.word <> b.word
+        UNION ALL SELECT word, near FROM shorter UNION ALL SELECT near, word FROM shorter
+    ), best AS (
+        SELECT x.word, count(*) AS n_near, first(v.word ORDER BY v.n DESC, encode(v.word)) AS form, max(v.n) AS form_n
+        FROM near x JOIN vocabulary v ON v.word = x.near GROUP BY x.word
+    ), formed AS (
+        SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN form_n >= 5 * v.n THEN form END AS form, CASE WHEN form_n >= 5 * v.n THEN form_n END AS form_n
+        FROM vocabulary v LEFT JOIN best b USING (word)
+    ), followed AS (
+        SELECT word, word AS at FROM formed UNION ALL SELECT f.word, t.form FROM followed f JOIN formed t ON t.word = f.at WHERE t.form IS NOT NULL
+    )
+    SELECT f.word, f.n, f.n_near, f.form, f.form_n, r.at AS root
+    FROM formed f JOIN followed r USING (word) JOIN formed t ON t.word = r.at WHERE t.form IS NULL
+    """,
+    "op12_hard_negatives": r"""
+    WITH usable AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+        FROM usable a JOIN usable c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+    ), positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    ), ranked AS (
+        SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS place
+        FROM positives p JOIN scored s USING (anchor_id)
+        WHERE NOT s.alike AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+    )
+    SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE place <= 5
+    """,
+    "op13_near_vectors": r"""
+    WITH RECURSIVE valid AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        WHERE list_dot_product(a.v, b.v) >= 0.95 * sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))
+    ), reach(vec_id, other) AS (
+        SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.y FROM reach r JOIN links l ON r.other = l.x
+    ), counted AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+    SELECT r.vec_id, coalesce(any_value(c.n), 0) AS n_links, min(r.other) AS component_id, r.vec_id = min(r.other) AS kept
+    FROM reach r LEFT JOIN counted c ON c.x = r.vec_id GROUP BY r.vec_id
+    """,
 }
