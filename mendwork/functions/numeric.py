@@ -26,14 +26,14 @@ def to_number(
 ) -> Column:
     """Text to double; NULL for whatever is not a decimal number or beyond what a double can hold.
 
-    Mentions its input once, so that nested uses (two outlier passes, filters that
-    Catalyst pushes through projections) stay small.
+    Mentions its input once, so that nested uses (filters that Catalyst pushes through
+    projections) stay small.
     """
     trimmed = text if stripped else strip(text)
     if words:
         trimmed = replace_words(trimmed, words)
     number = F.regexp_extract(trimmed, NUMBER_PATTERN, 0).try_cast("double")
-    return F.nullif(F.nullif(number, F.lit(float("inf"))), F.lit(float("-inf")))
+    return F.get(F.filter(F.array(number), lambda x: F.abs(x) < float("inf")), F.lit(0))
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -34,7 +34,8 @@ def iqr_bounds(
     """
     x = measured(F.col(number) if isinstance(number, str) else number, population)
     above = 0.0 if population == POSITIVE_ABS else None
-    q = exact_quantiles(df, x, [0.25, 0.75], by, above=above)
+    # A plain column is read as it is; anything else is written once.
+    q = exact_quantiles(df, x, [0.25, 0.75], by, above=above, write=not isinstance(number, str))
     spans = q.select(
         *by, "n", F.col("q0").alias("q1"), F.col("q1").alias("q3"), (F.col("q1") - F.col("q0")).alias("iqr")
     )
@@ -60,9 +61,9 @@ def with_outlier_flag(
     not carry the first pass's plan inside its own. Without a population nothing is
     flagged.
     """
-    number = F.col(number) if isinstance(number, str) else number
     if bounds is None:
         bounds = iqr_bounds(df, number, population, k)
+    number = F.col(number) if isinstance(number, str) else number
     lower, upper = bounds.select("lower", "upper").first()
     if lower is None:
         return df.withColumn(flag, F.lit(False))
@@ -90,11 +91,12 @@ def null_outliers(
 def iqr_report(
     df: DataFrame, number: str | Column, population: str = SIGNED
 ) -> DataFrame:
-    """The bounds and the number of rows outside and inside them."""
+    """The bounds and the number of rows outside and inside them; the number is computed and written once."""
     number = F.col(number) if isinstance(number, str) else number
-    bounds = iqr_bounds(df, number, population)
-    flagged = with_outlier_flag(df, number, "_out", population, bounds=bounds)
-    inside = ~F.col("_out") & number.isNotNull()
+    staged = materialise(df.select(number.alias("_x")), "numbers")
+    bounds = materialise(iqr_bounds(staged, "_x", population), "bounds")
+    flagged = with_outlier_flag(staged, "_x", "_out", population, bounds=bounds)
+    inside = ~F.col("_out") & F.col("_x").isNotNull()
     counts = flagged.agg(
         F.count_if("_out").alias("outlier_rows"), F.count_if(inside).alias("non_outlier_rows")
     )
@@ -119,11 +121,13 @@ def status_outlier_crosstab(
 ) -> DataFrame:
     """Amount status by outlier status, every cell present, in one aggregate."""
     text = strip(F.col(column))
-    staged = df.select(text.alias("_t"), to_number(text).alias("_x"))
+    # Written: the bounds' scans and the count read the parsed number, not the text.
+    missing = F.coalesce(text == "", F.lit(True))
+    staged = materialise(df.select(missing.alias("_missing"), to_number(text, stripped=True).alias("_x")), "numbers")
     flagged = with_outlier_flag(staged, "_x", "_out", POSITIVE_ABS)
     status = (
         F.when((F.abs("_x") > 0) & ~F.col("_out"), "valid")
-        .when(F.coalesce(F.col("_t") == "", F.lit(True)), "NULL")
+        .when(F.col("_missing"), "NULL")
         .otherwise("invalid")
     )
     outlier = (

@@ -1,81 +1,137 @@
 """Exact quantiles of columns of any size, by one path.
 
-The wanted rank is found by narrowing: a histogram over coarse value ranges tells which
-range holds it, further histograms split that range until few rows are left in it, and
-only the distinct values of that small range are sorted. Each step is a scan of one
-column with a map-side combined count, so a value held by a third of all rows costs one
-counter per task. How often a range is split depends on its count alone.
+A mergeable quantile sketch (Greenwald-Khanna, its ranks are off by at most one in ``ACCURACY``) gives two values
+that surely enclose the wanted rank: the bracket. One more scan counts the distinct values inside the brackets and
+the rows outside of them, and the rank is looked up among these counts. Where a bracket may still hold too many
+values for one task, it is first narrowed by a sketch of the rows inside it; how often depends on counts alone.
+Only sketches and counts are shuffled, so a value held by a third of all rows costs one counter per task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import operator
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from mendwork.session import materialise
 
-# Ranges per power of two in the first histogram, and ranges per range afterwards.
-COARSE = 64
-FINE = 65536
-# A range with more distinct values than that is split again: what one task sorts.
+# Distinct values of a group that one task may sort; a bracket that may hold more is narrowed.
 RANGE_ROWS = 100_000
+# Ranks of the sketch are off by at most one row in so many.
+ACCURACY = 10_000
+# How far from the wanted share the first bracket's ends are asked for: ten times that error.
+MARGIN = 0.001
+# Marks that a later sketch sets inside a bracket.
+MARKS = 1000
+# With fewer rows a bracket is not narrowed: the margins would be less than a row.
+LEAST_ROWS = 4 * MARKS
 
+_INF = float("inf")
 
-def value_range(x: Column) -> Column:
-    """Number of the coarse range of a double; never decreases as ``x`` grows.
 
-    Ranges are relative (64 per power of two), so their number is bounded by the
-    exponents a double can have, about 270,000, whatever the data are.
-    """
-    size = F.floor(F.log2(F.abs(x)) * COARSE) + 1100 * COARSE
+def interpolated(low: Column, high: Column, share: Column) -> Column:
+    """Between two neighbours, from the nearer one; equal neighbours (infinities too) stay as they are."""
+    step = high - low
     return (
-        F.when(x == float("inf"), F.lit(2200 * COARSE))
-        .when(x == float("-inf"), F.lit(-2200 * COARSE))
-        .when(x > 0, size)
-        .when(x < 0, -size)
-        .otherwise(F.lit(0))
-        .cast("int")
+        F.when((low == high) | (share == 0), low)
+        .when(share < 0.5, low + step * share)
+        .otherwise(high - step * (1 - share))
     )
 
 
-def sub_range(x: Column, low: Column, high: Column, parts: Column) -> Column:
-    """Which of ``parts`` equal slices of [low, high] holds ``x``; the same for halves of huge spans."""
-    share = (x / 2 - low / 2) / (high / 2 - low / 2)
-    return F.when(high > low, F.least(F.floor(share * parts), parts - 1)).otherwise(F.lit(0)).cast("long")
+def _position(total: Column, p: float) -> Column:
+    return (total - 1) * p
 
 
-def _targets(total: Column, probs: Sequence[float]) -> Column:
-    """Ranks (from 0) on both sides of every wanted position."""
-    wanted = []
-    for i, p in enumerate(probs):
-        position = (total - 1) * p
-        wanted.append((2 * i, F.floor(position)))
-        wanted.append((2 * i + 1, F.ceil(position)))
-    return F.array(
-        *[F.struct(F.lit(i).alias("slot"), rank.cast("long").alias("rank")) for i, rank in wanted]
-    )
+def _sketch(probs: Sequence[float]) -> list[Column]:
+    """The number of values, and two values per probability that enclose the wanted rank."""
+    ends = [min(1.0, max(0.0, p + side)) for p in probs for side in (-MARGIN, MARGIN)]
+    return [F.count("_v").alias("n"), F.percentile_approx("_v", ends, ACCURACY).alias("_ends")]
 
 
-def _narrow(level: DataFrame, parents: Sequence[str], order: str) -> DataFrame:
-    """Keep the ranges that hold a wanted rank, with ranks relative to the range."""
-    upto = F.sum("_n").over(Window.partitionBy(*parents).orderBy(order)).alias("_upto")
-    before = F.col("_upto") - F.col("_n")
-    inside = F.filter("_want", lambda t: (t.rank >= before) & (t.rank < F.col("_upto")))
-    moved = F.transform(
-        inside, lambda t: F.struct(t.slot.alias("slot"), (t.rank - before).alias("rank"))
-    )
-    return level.select("*", upto).withColumn("_want", moved).filter(F.size("_want") > 0)
+def _first_brackets(sketched: DataFrame, keys: Sequence[str], probs: Sequence[float], limit: int) -> DataFrame:
+    """Per group: the number of values, each bracket's ends and how many values may lie strictly inside."""
+    narrowed = F.col("n") > limit
+    inside = (F.col("n") * (2 * MARGIN + 2 / ACCURACY)).cast("long")
+    columns = []
+    for i in range(len(probs)):
+        columns.append(F.when(narrowed, F.get("_ends", F.lit(2 * i))).otherwise(-_INF).alias(f"_low{i}"))
+        columns.append(F.when(narrowed, F.get("_ends", F.lit(2 * i + 1))).otherwise(_INF).alias(f"_high{i}"))
+    columns.append(F.when(narrowed, inside).otherwise(F.col("n")).alias("_inside"))
+    return sketched.select(*keys, "n", *columns)
 
 
-def interpolated(low: Column, high: Column, share: Column) -> Column:
-    """Between two neighbours, from the nearer one; equal neighbours (infinities too) stay as they are."""
-    step = high - low
-    return (
-        F.when((low == high) | (share == 0), low)
-        .when(share < 0.5, low + step * share)
-        .otherwise(high - step * (1 - share))
+def _narrower(bounded: DataFrame, keys: Sequence[str], probs: Sequence[float], limit: int) -> DataFrame:
+    """The brackets again, each cut down by a sketch of the values strictly inside it.
+
+    ``bounded`` has the rows with the brackets of their groups.
+    """
+    marks = [i / MARKS for i in range(MARKS + 1)]
+    v, aggregates = F.col("_v"), [F.first("n").alias("n")]
+    for i in range(len(probs)):
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        inner = (v > low) & (v < high)
+        aggregates += [
+            F.count_if(v <= low).alias(f"_upto{i}"),
+            F.count_if(inner).alias(f"_inner{i}"),
+            F.percentile_approx(F.when(inner, v), marks, ACCURACY).alias(f"_marks{i}"),
+            F.first(low).alias(f"_low{i}"),
+            F.first(high).alias(f"_high{i}"),
+        ]
+    found = bounded.groupBy(*keys).agg(*aggregates)
+    columns, inside = [], []
+    for i, p in enumerate(probs):
+        inner = F.col(f"_inner{i}")
+        share = F.try_divide(F.floor(_position(F.col("n"), p)) - F.col(f"_upto{i}"), inner)
+        at = F.floor(share * MARKS).cast("int")
+        cut = inner > LEAST_ROWS
+        # Beyond the marks a bracket keeps its end.
+        columns.append(F.when(cut & (at >= 1), F.get(f"_marks{i}", at - 1)).otherwise(F.col(f"_low{i}")).alias(f"_low{i}"))
+        columns.append(F.when(cut & (at <= MARKS - 2), F.get(f"_marks{i}", F.greatest(at, F.lit(-1)) + 2)).otherwise(F.col(f"_high{i}")).alias(f"_high{i}"))
+        inside.append(F.when(cut, (inner * (4 / MARKS)).cast("long")).otherwise(F.least(inner, F.lit(limit))))
+    return found.select(*keys, "n", *columns, functools.reduce(F.greatest, inside, F.lit(0).cast("long")).alias("_inside"))
+
+
+def _with_numbers(rows: DataFrame, bracket: Mapping[str, Any]) -> DataFrame:
+    """Every row with the numbers of the one bracket row in the plan."""
+    return rows.select("_v", *[F.lit(x).alias(c) for c, x in bracket.items() if c == "n" or c.startswith(("_low", "_high"))])
+
+
+def _with_brackets(rows: DataFrame, brackets: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Every row with its group's brackets; groups without any keep all their values inside."""
+    bounds = [c for c in brackets.columns if c.startswith(("_low", "_high"))]
+    renamed = brackets.select(*[F.col(f"`{k}`").alias(f"_p_{k}") for k in keys], "n", *bounds)
+    joined = rows.join(renamed, [rows[f"`{k}`"].eqNullSafe(renamed[f"`_p_{k}`"]) for k in keys], how)
+    open_ends = [F.coalesce(c, F.lit(-_INF if c.startswith("_low") else _INF)).alias(c) for c in bounds]
+    return joined.select(*rows.columns, "n", *open_ends)
+
+
+def _look_up(bounded: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Per group the number of values and, per probability, those on both sides of the wanted position."""
+    v = F.col("_v")
+    ends = [(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in range(len(probs))]
+    inside = functools.reduce(operator.or_, [(v >= low) & (v <= high) for low, high in ends])
+    # Rows outside the brackets count for the nearest bracket's end below them, and stand behind it.
+    below = [F.when(high < v, high) for _, high in ends]
+    end = F.greatest(*below) if len(below) > 1 else below[0]
+    # Rows without a value count as none, so that their group is there.
+    spot = F.struct(F.coalesce(F.when(inside, v).otherwise(end), F.lit(-_INF)).alias("at"), (~inside).alias("gap"))
+    counted = bounded.groupBy(*keys, F.when(v.isNotNull(), spot).alias("_spot")).agg(F.count("_v").alias("_n"))
+    summed = counted.select(
+        *keys,
+        "_spot",
+        F.sum("_n").over(Window.partitionBy(*keys).orderBy("_spot")).alias("_upto"),
+        F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
     )
+    hits = []
+    for i, p in enumerate(probs):
+        position = _position(F.col("_total"), p)
+        for side, rank in (("l", F.floor(position)), ("h", F.ceil(position))):
+            hits.append(F.min(F.when(F.col("_upto") > rank, F.col("_spot"))).alias(f"_{side}{i}"))
+    return summed.groupBy(*keys).agg(F.coalesce(F.max("_total"), F.lit(0).cast("long")).alias("n"), *hits)
 
 
 def exact_quantiles(
@@ -85,89 +141,64 @@ def exact_quantiles(
     by: Sequence[str] = (),
     above: float | None = None,
     range_rows: int = RANGE_ROWS,
+    write: bool | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation, per group of ``by`` (or one row overall).
 
     Output: the ``by`` columns, ``n`` and one column ``q0``, ``q1``, … per
     probability. NULL and NaN are left out; an empty population gives NULLs. Values not
     ``above`` a limit are left out. The doubles do not depend on size or partitions.
+
+    Both scans read one numeric column. Unless ``value`` is a column's name it is written first, so that
+    what it is computed from is read once (``write`` overrides that).
     """
-    source = F.col(value) if isinstance(value, str) else value
-    keys = list(by)
-    # NaN is the largest double, so this keeps neither NULL nor NaN.
+    source = (F.col(f"`{value}`") if isinstance(value, str) else value).cast("double")
+    keys, limit = list(by), max(range_rows, LEAST_ROWS)
+    # NaN is the largest double, so this keeps neither NULL nor NaN. -0.0 and 0.0 are one value.
     kept = F.col("_v") < float("nan")
     if above is not None:
         kept = kept & (F.col("_v") > above)
-    rows = df.select(*keys, source.cast("double").alias("_v")).filter(kept)
-    # -0.0 and 0.0 are one value.
-    rows = rows.withColumn("_v", F.col("_v") + F.lit(0.0)).withColumn("_r0", value_range(F.col("_v")))
-    everything = df.select(*keys).distinct() if keys else None
-
-    def joined(left: DataFrame, picked: DataFrame, on: Sequence[str]) -> DataFrame:
-        renamed = picked.select(
-            *[F.col(k).alias(f"_p_{k}") for k in on],
-            *[c for c in picked.columns if c not in on],
-        )
-        match = [left[k].eqNullSafe(renamed[f"_p_{k}"]) for k in on]
-        return left.join(renamed, match).drop(*[f"_p_{k}" for k in on])
-
-    counters = (F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    path = [*keys, "_r0"]
-    level = rows.groupBy(*path).agg(*counters)
-    level = level.withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
-    level = level.withColumn("_want", _targets(F.col("_total"), probs))
-    wide = [*path, "_n", "_low", "_high", "_total", "_want"]
-    # At most two ranges per probability and group. Written, so that Spark knows the size
-    # when it plans the next join, and no step repeats the ones before it.
-    picked = materialise(_narrow(level, keys, "_r0").select(*wide), "ranges")
-    step = 0
-    while _largest(picked) > range_rows:
-        step += 1
-        name = f"_r{step}"
-        finer = joined(rows, picked.drop("_n"), path).withColumn(
-            name, sub_range(F.col("_v"), F.col("_low"), F.col("_high"), F.lit(FINE))
-        )
-        level = finer.groupBy(*path, name, "_total", "_want").agg(*counters)
-        rows = finer.select(*path, name, "_v")
-        wide = [*path, name, "_n", "_low", "_high", "_total", "_want"]
-        picked = materialise(_narrow(level, path, name).select(*wide), "ranges")
-        path = [*path, name]
-
-    values = joined(rows, picked.drop("_n", "_low", "_high"), path).groupBy(*path, "_total", "_want", "_v").agg(
-        F.count("*").alias("_n")
-    )
-    hits = _narrow(values, path, "_v").select(
-        *keys, "_total", "_v", F.explode("_want").alias("_hit")
-    )
-    slots = [
-        F.max(F.when(F.col("_hit.slot") == i, F.col("_v"))).alias(f"_s{i}")
-        for i in range(2 * len(probs))
-    ]
-    found = hits.groupBy(*keys).agg(F.coalesce(F.max("_total"), F.lit(0).cast("long")).alias("n"), *slots)
+    rows = df.select(*[F.col(f"`{k}`") for k in keys], source.alias("_v"))
+    rows = rows.select(*keys, F.when(kept, F.col("_v") + F.lit(0.0)).alias("_v"))
+    write = not isinstance(value, str) if write is None else write
+
+    if not keys:
+        if write:
+            # The sketch is taken while the numbers are written.
+            seen = Observation()
+            rows = materialise(rows.observe(seen, *_sketch(probs)), "numbers")
+            sketched = df.sparkSession.createDataFrame([(seen.get["n"], seen.get["_ends"])], "n long, _ends array<double>")
+        else:
+            sketched = rows.agg(*_sketch(probs))
+        bracket = _first_brackets(sketched, keys, probs, limit).first().asDict()
+        while bracket["_inside"] > limit:
+            bracket = _narrower(_with_numbers(rows, bracket), keys, probs, limit).first().asDict()
+        bounded = _with_numbers(rows, bracket)
+    else:
+        rows = materialise(rows, "numbers") if write else rows
+        counts = rows.groupBy(*keys).agg(F.count("_v").alias("n"))
+        most = counts.agg(F.max("n")).first()[0] or 0
+        if most <= limit:
+            open_ends = [F.lit(end).alias(f"{name}{i}") for i in range(len(probs)) for name, end in (("_low", -_INF), ("_high", _INF))]
+            bounded = rows.select("*", *open_ends)
+        else:
+            # Only groups with many values get sketches. Written, so that Spark knows the size when it plans the
+            # join, and no step repeats the ones before it.
+            large = materialise(counts.where(F.col("n") > limit), "large-groups")
+            sketched = _with_brackets(rows, large, keys, "inner").drop("n").groupBy(*keys).agg(*_sketch(probs))
+            large = materialise(_first_brackets(sketched, keys, probs, limit), "brackets")
+            while (large.agg(F.max("_inside")).first()[0] or 0) > limit:
+                large = materialise(_narrower(_with_brackets(rows, large, keys, "inner"), keys, probs, limit), "brackets")
+            bounded = _with_brackets(rows, large, keys, "left")
+    found = _look_up(bounded, keys, probs)
 
     def between(i: int, p: float) -> Column:
-        position = (F.col("n") - 1) * p
-        share = position - F.floor(position)
-        return interpolated(F.col(f"_s{2 * i}"), F.col(f"_s{2 * i + 1}"), share).alias(f"q{i}")
-
-    result = found.select(*keys, "n", *[between(i, p) for i, p in enumerate(probs)])
-    if everything is None:
-        return result
-    # Groups without any value: no count, no quantiles.
-    empty = joined_groups(everything, result, keys)
-    return result.unionByName(empty, allowMissingColumns=True).select(*result.columns)
-
-
-def joined_groups(groups: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The groups that ``found`` lacks, with a count of 0."""
-    seen = found.select(*[F.col(k).alias(f"_f_{k}") for k in keys])
-    match = [groups[k].eqNullSafe(seen[f"_f_{k}"]) for k in keys]
-    return groups.join(seen, match, "left_anti").withColumn("n", F.lit(0).cast("long"))
-
+        position = _position(F.col("n"), p)
+        missed = F.col(f"_l{i}.gap") | F.col(f"_h{i}.gap")
+        value = interpolated(F.col(f"_l{i}.at"), F.col(f"_h{i}.at"), position - F.floor(position))
+        return F.when(missed, F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")).otherwise(value).alias(f"q{i}")
 
-def _largest(picked: DataFrame) -> int:
-    """Rows of the fullest range that holds more than one value."""
-    return picked.agg(F.max(F.when(F.col("_high") > F.col("_low"), F.col("_n")))).first()[0] or 0
+    return found.select(*keys, "n", *[between(i, p) for i, p in enumerate(probs)])
 
 
 def exact_median(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:

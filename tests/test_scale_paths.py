@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mendwork.functions.numeric import float_text, to_number
-from mendwork.operators import canonical, duplicates, impute, keys, outliers, star
-from mendwork.operators.quantiles import exact_quantiles, value_range
+from mendwork.operators import canonical, duplicates, impute, keys, outliers, quantiles, star
+from mendwork.operators.quantiles import exact_quantiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -76,12 +76,44 @@ def test_quantiles_of_nothing(spark):
     assert got == {"a": (0, None), "b": (1, 2.0), None: (0, None)}
 
 
-def test_value_range_never_decreases(spark):
-    rng = random.Random(1)
-    xs = sorted([rng.choice([-1, 1]) * 10 ** rng.uniform(-308, 308) for _ in range(2000)] + [0.0, 1.0, 2.0, 4.0, float("inf"), float("-inf"), 5e-324])
-    df = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, x double")
-    codes = [r[0] for r in df.orderBy("i").select(value_range(F.col("x"))).collect()]
-    assert codes == sorted(codes)
+@pytest.mark.parametrize("by", [[], ["g"]])
+@pytest.mark.parametrize("kind", ["uniform", "ties", "one hot value", "infinities", "wide"])
+def test_quantiles_from_narrowed_brackets(spark, monkeypatch, kind, by):
+    """More rows than a bracket may hold: found by one sketch, and by sketches inside sketches."""
+    rng = np.random.default_rng(4)
+    n = 60_000
+    values = {
+        "uniform": rng.uniform(-1, 1, n),
+        "ties": rng.integers(0, 40, n).astype(float),
+        "one hot value": np.where(rng.random(n) < 0.4, 7.0, rng.normal(7, 1, n)),
+        "infinities": np.concatenate([np.full(n // 4, -np.inf), np.full(n // 4, np.inf), rng.normal(0, 1, n // 2)]),
+        "wide": rng.choice([-1.0, 1.0], n) * 10 ** rng.uniform(-300, 300, n),
+    }[kind]
+    groups = np.where(rng.random(n) < 0.5, "hot", np.where(rng.random(n) < 0.9, "warm", None)) if by else np.full(n, "hot")
+    data = [(g, float(v)) for g, v in zip(groups.tolist(), values, strict=True)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(6)
+    monkeypatch.setattr(quantiles, "LEAST_ROWS", 3500)
+    # Then a bracket with more than a few rows is cut by further sketches.
+    monkeypatch.setattr(quantiles, "MARGIN", 0.03)
+    for write in (False, True):
+        for row in exact_quantiles(df, "v", PROBS, by, range_rows=1, write=write).collect():
+            mine = values if not by else values[[g == row.g for g in groups]]
+            assert row.n == len(mine)
+            with np.errstate(invalid="ignore"):
+                want = np.quantile(mine, PROBS, method="linear").tolist()
+            got = [row[f"q{i}"] for i in range(len(PROBS))]
+            assert [a for a, b in zip(got, want, strict=True) if b == b] == [b for b in want if b == b]
+
+
+def test_a_hundred_thousand_segments_and_a_hot_one(spark):
+    segment = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))
+    df = spark.range(400_000).select(F.nullif(segment % 200_000, F.lit(77)).alias("s"), (F.hash("id") % 1000).cast("double").alias("v"))
+    got = outliers.iqr_bounds(df, "v", outliers.SIGNED, by=["s"])
+    want = df.groupBy("s").agg(F.count("v").alias("n"), F.percentile("v", [0.25, 0.75]).alias("q"))
+    both = got.join(want.withColumnRenamed("n", "m"), got.s.eqNullSafe(want.s))
+    assert both.count() == got.count() == 100_001
+    same = (F.col("n") == F.col("m")) & (F.abs(F.col("q1") - F.get("q", F.lit(0))) < 1e-9) & (F.abs(F.col("q3") - F.get("q", F.lit(1))) < 1e-9)
+    assert both.where(~same).count() == 0
 
 
 def _check_rank(df, order_by, **options):
