@@ -19,7 +19,7 @@ from mendwork.operators import impute, keys, outliers, star
 from mendwork.operators.report import spread
 from mendwork.plans import transactions as tx
 from mendwork.session import materialise, shared_folder
-from mendwork.sources import readers, sinks
+from mendwork.sources import delimited, publish, readers, sinks
 
 OPTIONS = tx.Options(order_by=["k"], max_year=MAX_YEAR)
 
@@ -74,6 +74,51 @@ def _(spark, folder):
     return readers.load_transactions(spark, path).select(*RAW_COLUMNS)
 
 
+# Lines of a file by the remainder of k: quotes, a line break, a quote in a plain cell, short, too long, too long with quotes, empty cells.
+_LINES = (
+    'concat(k, \',"Te ""q"" hran","a, b",\', k)',
+    "concat(k, ',\"two', chr(10), 'lines\", lead ,', k)",
+    "concat(k, ',Vi\"sa, x y ,')",
+    "concat(k, ',short')",
+    "concat(k, ',a,b,', k, ',more,')",
+    "concat(k, ',\"a, b\",\"c, \"\"d\",1,2')",
+    "concat(k, ',,\"\",', k)",
+)
+_PLAIN_CELLS = {
+    "a": ("'Te \"q\" hran'", "concat('two', chr(10), 'lines')", "'Vi\"sa'", "'short'", None, None, "''"),
+    "b": ("'a, b'", "' lead '", "' x y '", "NULL", None, None, "''"),
+    "c": ("CAST(o_orderkey AS varchar)", "CAST(o_orderkey AS varchar)", "''", "NULL", None, None, "CAST(o_orderkey AS varchar)"),
+}
+
+
+def _odd_lines(spark, folder):
+    """A file of such lines, one for every order."""
+    number = F.col("k") % len(_LINES)
+    lines = [F.when(number == i, F.expr(line)) for i, line in enumerate(_LINES)]
+    path = place(spark, "lines")
+    table(spark, folder, "orders").select(F.col("o_orderkey").alias("k")).select(F.coalesce(*lines).alias("value")).write.text(path)
+    return delimited.read_parted(spark, path, columns=["k", "a", "b", "c"])
+
+
+def _by_remainder(values) -> str:
+    cases = [f"WHEN {i} THEN {v}" for i, v in enumerate(values) if v is not None]
+    return f"CASE o_orderkey % {len(_LINES)} {' '.join(cases)} END"
+
+
+@query("a_s1_load_csv_quoted", "SELECT CAST(o_orderkey AS varchar) AS k, " + ", ".join(
+    f"{_by_remainder(v)} AS {c}" for c, v in _PLAIN_CELLS.items()) + f" FROM orders WHERE o_orderkey % {len(_LINES)} NOT IN (4, 5)")
+def _(spark, folder):
+    return _odd_lines(spark, folder).rows
+
+
+@query("a_s1_quarantine", f"""
+SELECT o_orderkey || CASE o_orderkey % {len(_LINES)} WHEN 4 THEN ',a,b,' || o_orderkey || ',more,' ELSE ',"a, b","c, ""d",1,2' END AS row_text,
+  CASE o_orderkey % {len(_LINES)} WHEN 4 THEN 6 ELSE 5 END AS n_fields, 4 AS expected_fields, 'too many fields' AS problem
+FROM orders WHERE o_orderkey % {len(_LINES)} IN (4, 5)""")
+def _(spark, folder):
+    return _odd_lines(spark, folder).quarantine.drop("file")
+
+
 _POLICY_ROWS = [
     (
         f"'{c}'",
@@ -183,6 +228,19 @@ def _(spark, folder):
     return sizes.withColumn("column_count", F.try_element_at(widths, F.col("table_name")).cast("long"))
 
 
+@query("b_s8_published_run", DONE + """
+SELECT transaction_id, status_clean AS status, date_clean AS date, clock_time_clean AS time,
+  card_type_clean AS card_type, city_clean AS city FROM done""")
+def _(spark, folder):
+    path = place(spark, "published")
+    frame = tx.run(dirty(spark, folder), OPTIONS).frame
+    for fmt in ("parquet", "csv"):
+        publish.publish(tx.star(frame, OPTIONS), path, fmt)
+    tables = publish.read_published(spark, path, verify=True)
+    wide = tables["fact"].join(tables["card"], "card_id", "left").join(tables["city"], "city_id", "left")
+    return wide.select("transaction_id", "status", "date", "time", "card_type", "city")
+
+
 @query("b_s9_first_rows", DIRTY + "SELECT * FROM dirty ORDER BY k LIMIT 500")
 def _(spark, folder):
     return readers.first_rows(dirty(spark, folder), ["k"], 500)

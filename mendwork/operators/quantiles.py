@@ -14,7 +14,7 @@ import operator
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mendwork.session import materialise
 
@@ -162,20 +162,13 @@ def exact_quantiles(
     rows = rows.select(*keys, F.when(kept, F.col("_v") + F.lit(0.0)).alias("_v"))
     write = not isinstance(value, str) if write is None else write
 
+    rows = materialise(rows, "numbers") if write else rows
     if not keys:
-        if write:
-            # The sketch is taken while the numbers are written.
-            seen = Observation()
-            rows = materialise(rows.observe(seen, *_sketch(probs)), "numbers")
-            sketched = df.sparkSession.createDataFrame([(seen.get["n"], seen.get["_ends"])], "n long, _ends array<double>")
-        else:
-            sketched = rows.agg(*_sketch(probs))
-        bracket = _first_brackets(sketched, keys, probs, limit).first().asDict()
+        bracket = _first_brackets(rows.agg(*_sketch(probs)), keys, probs, limit).first().asDict()
         while bracket["_inside"] > limit:
             bracket = _narrower(_with_numbers(rows, bracket), keys, probs, limit).first().asDict()
         bounded = _with_numbers(rows, bracket)
     else:
-        rows = materialise(rows, "numbers") if write else rows
         counts = rows.groupBy(*keys).agg(F.count("_v").alias("n"))
         most = counts.agg(F.max("n")).first()[0] or 0
         if most <= limit:

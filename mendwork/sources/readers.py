@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mendwork.functions.fixed_values import EXPECTED_COLUMNS
 from mendwork.functions.nulls import NullPolicy, blank_to_null
+from mendwork.sources import delimited
+
 
 def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Fail before any job runs if a column is absent; order and extra columns are free."""
@@ -53,16 +55,11 @@ def read_table(
 ) -> DataFrame:
     """Read csv, parquet, json or orc; CSV columns all come as text.
 
-    Without a policy an empty CSV field is an empty text.
+    Without a policy an empty CSV field is an empty text. A CSV row with too many fields stops the read;
+    ``delimited.read_parted`` puts such rows aside.
     """
-    reader = spark.read.format(fmt).options(**options)
-    if fmt == "csv":
-        reader = reader.options(header="true", inferSchema="false")
-    df = require_columns(reader.load(path), required)
-    if fmt == "csv":
-        # Spark reads empty fields as NULL; whether they are missing is for the policy.
-        df = df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns])
-    return apply_null_policy(df, policy)
+    df = delimited.read_strict(spark, path, **options) if fmt == "csv" else spark.read.format(fmt).options(**options).load(path)
+    return apply_null_policy(require_columns(df, required), policy)
 
 
 def load_transactions(
@@ -71,6 +68,12 @@ def load_transactions(
     return as_text(read_table(spark, path, fmt, EXPECTED_COLUMNS, policy))
 
 
+def load_transactions_parted(spark: SparkSession, path: str, policy: NullPolicy | None = NullPolicy.NA_TOKENS) -> delimited.Parted:
+    """Transactions from csv, and the rows that can't be read in a table of their own."""
+    parted = delimited.read_parted(spark, path)
+    return delimited.Parted(apply_null_policy(require_columns(parted.rows, EXPECTED_COLUMNS), policy), parted.quarantine)
+
+
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     """A small CSV lookup such as (city_id, city)."""
     return read_table(spark, path, "csv")

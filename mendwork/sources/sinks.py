@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mendwork.functions.fixed_values import NULL_TOKEN
 from mendwork.functions.nulls import NullPolicy, blank_to_null
 from mendwork.functions.numeric import float_text, whole_text
+from mendwork.sources import delimited
 
 
 def text_cell(text: Column) -> Column:
@@ -54,10 +55,8 @@ def transformed_view(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One file per partition, each with a header; blanks around texts are kept."""
-    writer = df.write.mode(mode).option("header", True).option("emptyValue", "")
-    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-    writer.csv(path)
+    """One file per partition, each with a header; texts come back as they are."""
+    delimited.write(df, path, mode)
 
 
 def write_document(one_row: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -72,11 +71,15 @@ def write_tables(
     mode: str = "overwrite",
     write: bool = True,
 ) -> None:
-    """One sub-folder per table; ``write=False`` skips the tables (report-only run)."""
+    """One sub-folder per table; ``write=False`` skips the tables (report-only run).
+
+    Table by table: ``publish.publish`` shows readers all tables of a run at once.
+    """
     if not write:
         return
     for name, df in tables.items():
-        writer = df.write.mode(mode).format(fmt)
+        path = f"{folder.rstrip('/')}/{name}"
         if fmt == "csv":
-            writer = writer.option("header", True)
-        writer.save(f"{folder.rstrip('/')}/{name}")
+            delimited.write(df, path, mode)
+        else:
+            df.write.mode(mode).format(fmt).save(path)
