@@ -2,9 +2,10 @@
 
 One path for every size: the rows are cut into ranges of the whole order key, at
 boundaries that Spark samples, so the ranges have about equally many rows whatever
-the values are. They are written once together with the number of their range; the
-ranges are counted, and each is numbered on its own from where the ones before it
-end. No task holds more than a range, and a lost task is repeated from the table.
+the values are. The task that holds a range sorts it, numbers its rows and writes them;
+the ranges are counted, and a row's key is its number behind the ranges before its own.
+The rows move once. No task holds more than a range, and a lost task is repeated from
+the table.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from mendwork.session import materialise
 
+# Spark's increasing ids number the rows of a task in the lower 33 bits.
+TASK_BITS = 33
+
 
 def with_row_rank(
     df: DataFrame, order_by: Sequence[str], name: str, slices: int | None = None
@@ -27,16 +31,18 @@ def with_row_rank(
     """
     order = [F.col(f"`{c}`") for c in order_by]
     ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
-    rows = materialise(ranged.withColumn("_slice", F.spark_partition_id()), "ranked")
+    # The id holds the number of the task (of the range) above this many bits, and the row's place below.
+    placed = ranged.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    rows = materialise(placed, "ranked")
+    slice_no, local = F.shiftright("_at", TASK_BITS), F.col("_at").bitwiseAND(F.lit((1 << TASK_BITS) - 1))
     # One row per range.
-    sizes = rows.groupBy("_slice").agg(F.count("*").alias("_n"))
+    sizes = rows.groupBy(slice_no.alias("_slice")).agg(F.count("*").alias("_n"))
     starts = sizes.select(
         "_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_start")
     )
-    local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order))
-    numbered = rows.withColumn("_local", local).join(F.broadcast(starts), "_slice")
+    numbered = rows.withColumn("_slice", slice_no).join(F.broadcast(starts), "_slice")
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return numbered.select(*columns, (F.col("_start") + F.col("_local")).alias(name))
+    return numbered.select(*columns, (F.col("_start") + local + 1).alias(name))
 
 
 def add_surrogate_key(

@@ -150,6 +150,22 @@ SLICED = {
 }
 
 
+def test_rows_move_once_for_their_key(spark, monkeypatch):
+    """One exchange of full rows: to their range. Sizes and starts are a few numbers."""
+    df = spark.range(200_000).selectExpr("if(id % 100 = 0, id * 1000000, id % 977) AS a", "id AS b", "repeat('x', 50) AS wide").repartition(8, "b")
+    plans = []
+    plain = keys.materialise
+    monkeypatch.setattr(keys, "materialise", lambda rows, name: plans.append(rows) or plain(rows, name))
+    ranked = keys.with_row_rank(df, ["a", "b"], "rank", slices=20)
+    text = "\n".join(p._jdf.queryExecution().optimizedPlan().toString() for p in [*plans, ranked])
+    assert text.count("RepartitionByExpression") == 1
+    late = ranked._jdf.queryExecution().executedPlan().toString()
+    assert all("wide" not in line for line in late.splitlines() if "Exchange" in line)
+    assert "row_number" not in late
+    order = ranked.orderBy("rank").select("a", "b").collect()
+    assert order == df.orderBy("a", "b").select("a", "b").collect()
+
+
 @pytest.mark.parametrize("kind", SLICED)
 def test_slices_hold_about_equally_many_rows(spark, kind):
     columns, order_by = SLICED[kind]
