@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
 from checks.base import query, table
 from mendwork.functions.numeric import to_boolean
-from mendwork.operators import impute
+from mendwork.operators import column_sets, impute
 from mendwork.operators.completeness import structured_missingness
 from mendwork.plans import calorie
 from mendwork.plans import retail as plan
@@ -96,6 +97,59 @@ def _(spark, folder):
     return filled.select("k", "category", "price_per_unit", "item")
 
 
+# Columns of the sales in which dependencies and identifying sets are looked for.
+_SET_COLUMNS = ["category", "item", "price_per_unit", "customer", "payment_method", "location"]
+
+
+def _column_sets(least: int, most: int) -> list[tuple[str, ...]]:
+    return [c for size in range(least, most + 1) for c in itertools.combinations(_SET_COLUMNS, size)]
+
+
+def _set_name(columns) -> str:
+    return ",".join(columns)
+
+
+def _distinct_sql(columns) -> str:
+    return f"SELECT '{_set_name(columns)}' AS name, (SELECT count(*) FROM (SELECT DISTINCT {_set_name(columns) or '1'} FROM priced)) AS n"
+
+
+def _pairs_sql(most: int) -> str:
+    rows = []
+    for given in _column_sets(0, most):
+        for a in _SET_COLUMNS:
+            if a not in given:
+                both = [c for c in _SET_COLUMNS if c in given or c == a]
+                rows.append(f"('{_set_name(given)}', '{a}', '{_set_name(both)}')")
+    return ", ".join(rows)
+
+
+@query("b_i5_minimal_dependencies", PRICED + f""", counted AS ({' UNION ALL '.join(map(_distinct_sql, _column_sets(0, 4)))}),
+pairs(given, inferred, united) AS (VALUES {_pairs_sql(3)}),
+held AS (SELECT p.*, x.n FROM pairs p JOIN counted x ON x.name = p.given JOIN counted y ON y.name = p.united WHERE x.n = y.n)
+SELECT given, inferred, n = (SELECT count(*) FROM priced) AS is_key FROM held h WHERE NOT EXISTS (
+  SELECT 1 FROM held s WHERE s.inferred = h.inferred AND s.given <> h.given
+    AND len(list_filter(string_split(s.given, ','), lambda c: c <> '' AND NOT list_contains(string_split(h.given, ','), c))) = 0)""")
+def _(spark, folder):
+    priced = impute.reconstruct_price(named(spark, folder), "price_per_unit", "total_spent", "quantity")
+    found = column_sets.minimal_dependencies(priced, _SET_COLUMNS, max_given=3)
+    return found.withColumn("given", F.array_join("given", ","))
+
+
+def _risk_sql(columns) -> str:
+    names = _set_name(columns)
+    return f"""SELECT '{names}' AS columns, min(n) AS smallest_group, count(*) FILTER (n < 20) AS small_groups,
+    coalesce(sum(n) FILTER (n < 20), 0)::bigint AS rows_at_risk FROM (SELECT count(*) AS n FROM sales GROUP BY {names})"""
+
+
+@query("c_b6_smallest_identifying_sets", SALES + f""", tried AS ({' UNION ALL '.join(map(_risk_sql, _column_sets(1, 6)))}),
+risky AS (SELECT * FROM tried WHERE smallest_group < 20)
+SELECT * FROM risky r WHERE NOT EXISTS (SELECT 1 FROM risky s WHERE s.columns <> r.columns
+  AND len(list_filter(string_split(s.columns, ','), lambda c: NOT list_contains(string_split(r.columns, ','), c))) = 0)""")
+def _(spark, folder):
+    found = column_sets.smallest_identifying_sets(named(spark, folder), _SET_COLUMNS, k=20)
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
 @query("b_i6_mode_hierarchy", """WITH part_gaps AS (
   SELECT p_partkey, p_brand, p_type, CASE WHEN p_partkey % 5 > 0 AND p_brand <> 'Brand#2' THEN p_size END AS p_size FROM part),
 n1 AS (SELECT p_brand, p_type, p_size AS q, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY count(*) DESC, p_size) AS r

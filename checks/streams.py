@@ -6,10 +6,11 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from checks.base import SQL, dirty_from, query, stream
+from checks.base import DIRTY, SQL, dirty_from, query, stream
 from checks.validating import gappy
+from mendwork.operators import duplicates
 from mendwork.session import shared_folder
-from mendwork.streaming import gate, monitor
+from mendwork.streaming import gate, monitor, repeated_ids
 
 
 @query("c_b7_constraint_gate_stream", SQL["c_b7_constraint_gate"])
@@ -43,3 +44,26 @@ def _(spark, folder):
     return result.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("window_start", "window_end")}
     )
+
+
+@query("a_d1_duplicate_ids_stream", SQL["a_d1_duplicate_id_summary"])
+def _(spark, folder):
+    """The same summary from what the stream let through and put aside."""
+    source = dirty_from(stream(spark, folder, "orders"))
+    place = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
+    accepted, quarantine = f"{place}/accepted", f"{place}/quarantine"
+    repeated_ids.start_duplicate_gate(source, "id", accepted, quarantine, f"{place}/checkpoint", once=True).awaitTermination()
+    good = spark.read.schema(source.schema).parquet(accepted)
+    bad = spark.read.schema(source.schema).parquet(quarantine)
+    return duplicates.duplicate_id_summary(good.unionByName(bad), "id")
+
+
+@query("c_b7_first_rows_per_id_stream", DIRTY + """SELECT count(*) AS accepted_rows, count(DISTINCT id) AS accepted_ids,
+  (SELECT count(*) - count(DISTINCT id) FROM dirty) AS quarantined_rows FROM (SELECT id FROM dirty GROUP BY id)""")
+def _(spark, folder):
+    source = dirty_from(stream(spark, folder, "orders"))
+    place = f"{shared_folder(spark)}/ids-{uuid.uuid4().hex}"
+    accepted, quarantine = f"{place}/accepted", f"{place}/quarantine"
+    repeated_ids.start_duplicate_gate(source, "id", accepted, quarantine, f"{place}/checkpoint", once=True).awaitTermination()
+    counts = spark.read.schema(source.schema).parquet(accepted).agg(F.count("*").alias("accepted_rows"), F.count_distinct("id").alias("accepted_ids"))
+    return counts.withColumn("quarantined_rows", F.lit(spark.read.schema(source.schema).parquet(quarantine).count()))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.base import (
-    CARD_SQL, CITY_SQL, CLEAN, DIRTY, DONE, RAW_COLUMNS, STATUS_SQL, dirty, number_sql, query, raw,
+    CARD_SQL, CITY_SQL, CLEAN, DIRTY, DONE, RAW_COLUMNS, SQL, STATUS_SQL, dirty, number_sql, query, raw,
     table, unpivot_counts,
 )
 from checks.cleaning import OPTIONS, cleansed, transformed
@@ -19,6 +21,7 @@ from mendwork.operators import (
     analytics, canonical as canon, completeness, consistency, duplicates, outliers, quality, star,
 )
 from mendwork.plans import transactions as tx
+from mendwork.session import shared_folder
 from mendwork.sources import sinks
 from mendwork.streaming import gate, monitor
 
@@ -48,6 +51,17 @@ def _(spark, folder):
     return quality.quality_snapshot(transformed(spark, folder))
 
 
+@query("a_q1_snapshot_from_states", SQL["a_q1_quality_snapshot"])
+def _(spark, folder):
+    """Stored by month in three parts, one month twice."""
+    frame = transformed(spark, folder)
+    path = f"{shared_folder(spark)}/states-{uuid.uuid4().hex}"
+    day, month = F.trunc("date_clean", "month"), F.month("date_clean")
+    for part in (F.coalesce(month <= 6, F.lit(True)), month > 6, month == 3):
+        quality.store_states(quality.snapshot_states(frame.where(part), day), path)
+    return quality.merged_snapshot(spark.read.parquet(path))
+
+
 def _raw_state(c: str, expression: str) -> str:
     bad = f"(({expression}) IS NULL AND coalesce(trim({c}), '') <> '')"
     null = f"coalesce(trim({c}), '') = ''"
@@ -232,6 +246,32 @@ def _(spark, folder):
     return canon.reconcile_mapping(dirty(spark, folder), "status", STATUS_MAP)
 
 
+# Mappings as if the variants had never been written down.
+_NAMES_ONLY = {c: {v.lower(): v for v in m.values()} for c, m in (("city", CITY_MAP), ("card_type", CARD_MAP))}
+
+
+def _proposals(column: str, distance: int) -> str:
+    """SQL: every unknown spelling against every name by edit distance."""
+    names = sorted(set(_NAMES_ONLY[column].values()))
+    listed = ", ".join(f"('{v}')" for v in names)
+    return DIRTY + f""", names(name) AS (VALUES {listed}), raw_values AS (
+  SELECT trim({column}) AS raw_value, count(*) AS row_count FROM dirty WHERE coalesce(trim({column}), '') <> ''
+    AND lower(trim({column})) NOT IN ({', '.join(f"'{v.lower()}'" for v in names)}) GROUP BY 1),
+near AS (SELECT *, levenshtein(lower(raw_value), lower(name)) AS distance FROM raw_values CROSS JOIN names),
+best AS (SELECT * FROM near WHERE distance <= {distance} QUALIFY distance = min(distance) OVER (PARTITION BY raw_value))
+SELECT raw_value, row_count, min(name) AS proposed, min(distance)::int AS distance, count(*)::int AS n_proposals FROM best GROUP BY 1, 2"""
+
+
+@query("b_q9_propose_city", _proposals("city", 2))
+def _(spark, folder):
+    return canon.propose_mapping(dirty(spark, folder), "city", _NAMES_ONLY["city"], distance=2)
+
+
+@query("b_q9_propose_card", _proposals("card_type", 1))
+def _(spark, folder):
+    return canon.propose_mapping(dirty(spark, folder), "card_type", _NAMES_ONLY["card_type"])
+
+
 @query("b_q9_fragmentation_city", DIRTY + _spelled("city", CITY_SQL) + """, g AS (
   SELECT canonical, count(*) AS variants, sum(row_count)::bigint AS canonical_count,
     coalesce(sum(row_count) FILTER (raw_value = canonical), 0)::bigint AS exact_count FROM spelled WHERE canonical IS NOT NULL GROUP BY 1)

@@ -98,6 +98,43 @@ def reconcile_mapping(df: DataFrame, column: str, mapping: Mapping[str, str]) ->
     )
 
 
+def _with_gaps(text: Column, distance: int) -> Column:
+    """The text and all texts that arise by leaving out up to ``distance`` characters."""
+    grown = F.array(text)
+    for _ in range(distance):
+        shorter = F.flatten(F.transform(grown, lambda t: F.transform(
+            F.sequence(F.lit(1), F.greatest(F.char_length(t), F.lit(1))),
+            lambda i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.char_length(t))),
+        )))
+        grown = F.array_distinct(F.concat(grown, shorter))
+    return grown
+
+
+def propose_mapping(df: DataFrame, column: str, mapping: Mapping[str, str], distance: int = 1) -> DataFrame:
+    """(raw_value, row_count, proposed, distance, n_proposals): canonical values for spellings that the mapping lacks.
+
+    A spelling is proposed for the canonical value with a known spelling (or name) at the smallest edit distance, up to
+    ``distance``; where several values are equally close the smallest is named and ``n_proposals`` says how many
+    there are. Two texts within that distance share a text that arises by leaving out characters, so candidates
+    come from an equality join of such texts, and only they are measured. Spellings without a proposal are not listed.
+    """
+    unknown = _spellings(df, column, mapping).filter("canonical IS NULL").select("raw_value", "row_count", F.lower("raw_value").alias("_raw"))
+    known = {(k.lower(), v) for k, v in mapping.items()} | {(v.lower(), v) for v in mapping.values()}
+    spelled = df.sparkSession.createDataFrame(sorted(known), "_known string, _name string")
+    left = unknown.select("*", F.explode(_with_gaps(F.col("_raw"), distance)).alias("_gapped"))
+    right = spelled.select("*", F.explode(_with_gaps(F.col("_known"), distance)).alias("_gapped"))
+    pairs = left.join(right, "_gapped").select("raw_value", "row_count", "_raw", "_known", "_name").distinct()
+    near = pairs.withColumn("_distance", F.levenshtein("_raw", "_known")).filter(F.col("_distance") <= distance)
+    by_name = near.groupBy("raw_value", "row_count", "_name").agg(F.min("_distance").alias("_distance"))
+    # At most as many entries as there are canonical values.
+    best = by_name.groupBy("raw_value", "row_count").agg(F.sort_array(F.collect_list(F.struct("_distance", "_name"))).alias("_all"))
+    first = F.get("_all", F.lit(0))
+    same = F.size(F.filter("_all", lambda x: x["_distance"] == F.col("_all")[0]["_distance"]))
+    return best.select(
+        "raw_value", "row_count", first["_name"].alias("proposed"), first["_distance"].alias("distance"), same.alias("n_proposals")
+    )
+
+
 def fragmentation(df: DataFrame, column: str, mapping: Mapping[str, str]) -> DataFrame:
     """Per canonical value: spellings, true total, rows spelled exactly so, undercount."""
     spelled = _spellings(df, column, mapping).filter("canonical IS NOT NULL")

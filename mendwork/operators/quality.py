@@ -17,12 +17,11 @@ from mendwork.operators.duplicates import duplicated_rows_by_key, key_uniqueness
 from mendwork.operators.report import spread
 
 
-def quality_snapshot(df: DataFrame, categories: Sequence[str] = ("status", "card_type", "city")) -> DataFrame:
-    """Valid / invalid / null per column, before and after cleaning.
+CATEGORIES = ("status", "card_type", "city")
 
-    "Before" looks at the columns as the cleansing left them. A time without a
-    standard form is null afterwards, never invalid.
-    """
+
+def _snapshot_counters(categories: Sequence[str]) -> dict[str, Column]:
+    """The counts that a snapshot is made of; those of parts of a table add up."""
 
     def blank(c: str) -> Column:
         return is_missing_text(F.col(c), NullPolicy.BLANK)
@@ -42,7 +41,11 @@ def quality_snapshot(df: DataFrame, categories: Sequence[str] = ("status", "card
     counters["amount_bad"] = F.count_if(bad_amount)
     counters["amount_text"] = F.count_if("amount_non_numeric_flag")
     counters["amount_good"] = F.count("amount_clean")
-    one = df.agg(*[c.alias(n) for n, c in counters.items()])
+    return counters
+
+
+def _snapshot_report(one: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """The report from one row of counts."""
     n = F.col("rows")
 
     def category(c: str) -> tuple[Column, ...]:
@@ -68,6 +71,36 @@ def quality_snapshot(df: DataFrame, categories: Sequence[str] = ("status", "card
     return spread(one, names, [*[category(c) for c in categories], time(), money()])
 
 
+def quality_snapshot(df: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """Valid / invalid / null per column, before and after cleaning.
+
+    "Before" looks at the columns as the cleansing left them. A time without a
+    standard form is null afterwards, never invalid.
+    """
+    one = df.agg(*[c.alias(n) for n, c in _snapshot_counters(categories).items()])
+    return _snapshot_report(one, categories)
+
+
+def snapshot_states(df: DataFrame, day: Column, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """(day, counts): what each day adds to the snapshot; rows without a day are a day of their own (NULL)."""
+    staged = df.withColumn("_day", day.cast("date"))
+    return staged.groupBy(F.col("_day").alias("day")).agg(*[c.alias(n) for n, c in _snapshot_counters(categories).items()])
+
+
+def store_states(states: DataFrame, folder: str) -> None:
+    """Write the states, one partition per day. Days that are stored already are replaced, others stay.
+
+    So a new day costs the scan of its own rows, and a day that is written again counts once.
+    """
+    states.repartition("day").write.mode("overwrite").partitionBy("day").option("partitionOverwriteMode", "dynamic").parquet(folder)
+
+
+def merged_snapshot(states: DataFrame, categories: Sequence[str] = CATEGORIES) -> DataFrame:
+    """The snapshot of all rows that the states stand for, without reading them."""
+    names = [c for c in states.columns if c != "day"]
+    return _snapshot_report(states.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]), categories)
+
+
 def snapshot_against(df: DataFrame, baseline: DataFrame, mappings: Mapping[str, Mapping[str, str]]) -> DataFrame:
     """The snapshot with "before" taken from the raw table instead."""
     after = quality_snapshot(df, list(mappings))

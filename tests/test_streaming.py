@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from checks.base import dirty, table
 from checks.validating import gappy
-from mendwork.streaming import gate, monitor
+from mendwork.operators import duplicates
+from mendwork.streaming import gate, monitor, repeated_ids
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -72,3 +75,30 @@ def test_closed_windows_are_emitted_once(spark, tmp_path):
     closed = spark.table("closed").collect()
     assert len(closed) == 3  # the fourth day is still open at the watermark
     assert all((r.row_count, r.v_null_rows, r.v_null_pct) == (24, 6, 25.0) for r in closed)
+
+
+def _feed(spark, rows, path):
+    spark.createDataFrame(rows, "id string, n long, ts timestamp, price double").coalesce(1).write.mode("append").parquet(path)
+
+
+def test_repeated_ids_after_a_restart(spark, tmp_path):
+    source, place = str(tmp_path / "in"), str(tmp_path)
+    at = datetime.datetime(2025, 1, 1)
+    parts = [
+        [("a", 1, at, 1.5), ("b", None, at, None), (None, 3, None, 0.1), (" ", 4, at, float("nan"))],
+        [("a", 5, at, 1.0), ("c", 2**53 + 1, at, 1.0), (" a ", 7, at, 1.0)],
+    ]
+    for part in parts:
+        _feed(spark, part, source)
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        # Each part is read by a query of its own that starts from the checkpoint of the one before.
+        repeated_ids.start_duplicate_gate(stream, "id", f"{place}/good", f"{place}/bad", f"{place}/check", once=True).awaitTermination(120)
+    good, bad = spark.read.parquet(f"{place}/good"), spark.read.parquet(f"{place}/bad")
+    assert sorted((r.n or 0) for r in good.collect()) == [0, 1, 3, 4, 2**53 + 1]
+    assert sorted((r.n, r.occurrence) for r in bad.collect()) in ([(5, 2), (7, 3)], [(5, 3), (7, 2)])
+    # Values come through as they were.
+    whole = spark.read.parquet(source)
+    both = good.drop("batch_id").unionByName(bad.select(whole.columns))
+    assert both.exceptAll(whole).count() == 0 and both.count() == 7
+    want = sorted(map(tuple, duplicates.duplicate_id_summary(whole, "id").collect()))
+    assert sorted(map(tuple, duplicates.duplicate_id_summary(both, "id").collect())) == want
