@@ -102,10 +102,14 @@ class Automaton:
         named = [(label, words_of(phrase.encode("utf-8"))) for phrase, label in sorted(phrases.items())]
         vocabulary = sorted({w for _, words in [*self.sequences, *named] for w in words})
         self.ids = {w: i for i, w in enumerate(vocabulary)}
+        self.tokens = [[self.ids[w] for w in words] for _, words in self.sequences]
+        # A single word has no neighbour to be known by; it is looked for on its own.
+        self.single = [(label, self.ids[words[0]]) for label, words in named if len(words) == 1]
+        named = [(label, words) for label, words in named if len(words) > 1]
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        # For each state, template number -> position after the stretch's first place in that template.
-        self.places: list[dict[int, int]] = [{}]
+        # For each state all places (template number, position behind it) of its stretches.
+        self.places: list[set[tuple[int, int]]] = [set()]
         self.follows = np.zeros((len(vocabulary), len(vocabulary)), dtype=bool)
         for number, (_, words) in enumerate([*self.sequences, *named]):
             last, tokens = 0, [self.ids[w] for w in words]
@@ -113,12 +117,10 @@ class Automaton:
             for position, token in enumerate(tokens, 1):
                 last = self._extend(last, token)
                 if number < self.n_templates:
-                    self.places[last].setdefault(number, position)
+                    self.places[last].add((number, position))
         for state in sorted(range(1, len(self.next)), key=lambda s: -self.length[s]):
             if self.link[state] > 0:
-                above = self.places[self.link[state]]
-                for number, position in self.places[state].items():
-                    above[number] = min(position, above.get(number, position))
+                self.places[self.link[state]] |= self.places[state]
         # Phrases by the state of their own stretch; a longer stretch has them on its chain of links.
         ends: dict[int, list[tuple[str, int]]] = {}
         for label, words in named:
@@ -155,7 +157,7 @@ class Automaton:
         self.next.append({})
         self.link.append(-1)
         self.length.append(length)
-        self.places.append({})
+        self.places.append(set())
         return len(self.next) - 1
 
     def _split(self, state: int, token: int, target: int) -> int:
@@ -187,49 +189,68 @@ class Automaton:
 
     def scan(self, tokens: np.ndarray, min_match: int, coverage: float, gap: int):
         """Phrase places (label, start) and template spans (label, start, words, share of the template)."""
-        places, stretches = [], []
+        places: list[tuple[str, int]] = []
+        matches: dict[int, list[tuple[int, int, int]]] = {}
+        for label, token in self.single:
+            places += [(label, at) for at in np.flatnonzero(tokens == token).tolist()]
         if len(tokens) > 1:
             # Only where neighbours also stand together in a template can a stretch of two or more be.
             beside = np.zeros(len(tokens) + 1, dtype=bool)
             beside[1:-1] = (tokens[:-1] >= 0) & (tokens[1:] >= 0) & self.follows[tokens[:-1], tokens[1:]]
             edges = np.flatnonzero(beside[1:] != beside[:-1])
             for begin, end in edges.reshape(-1, 2).tolist():
-                run = self.statistics(tokens[begin : end + 1].tolist())
-                for i, (state, length) in enumerate(run):
+                run = tokens[begin : end + 1].tolist()
+                for i, (state, length) in enumerate(self.statistics(run)):
                     for label, n in self.phrases[state]:
                         if length >= n:
                             places.append((label, begin + i + 1 - n))
-                    if length >= min_match and (i + 1 == len(run) or run[i + 1][1] <= length):
-                        stretches.append((begin + i + 1, state, length))
-        return places, self._chain(stretches, coverage, gap)
+                    if length >= min_match:
+                        following = run[i + 1] if i + 1 < len(run) else -1
+                        for number, position, n in self._ending(state, length, min_match, following):
+                            matches.setdefault(number, []).append((begin + i + 1 - n, position - n, n))
+        spans = [span for number, found in matches.items() for span in self._spans(number, found, coverage, gap)]
+        return places, sorted(set(spans), key=lambda s: (s[1], s[0], s[2]))
 
-    def _chain(self, stretches: list[tuple[int, int, int]], coverage: float, gap: int):
-        by_template: dict[int, list[tuple[int, int, int]]] = {}
-        for end, state, length in stretches:
-            for number, position in self.places[state].items():
-                by_template.setdefault(number, []).append((end - length, position - length, length))
-        spans = []
-        for number, matches in by_template.items():
-            label, words = self.sequences[number]
-            chain: list[tuple[int, int, int]] = []
-            for start, place, length in sorted(matches):
-                if chain:
-                    last = chain[-1]
-                    over = max(0, last[0] + last[2] - start, last[1] + last[2] - place)
-                    if over < length and place > last[1] and start + over - last[0] - last[2] <= gap:
-                        chain.append((start + over, place + over, length - over))
-                        continue
-                    spans += self._span(label, words, chain, coverage)
-                chain = [(start, place, length)]
-            spans += self._span(label, words, chain, coverage)
-        return sorted(set(spans), key=lambda s: (s[1], s[0], s[2]))
+    def _ending(self, state: int, length: int, min_match: int, following: int):
+        """(template, position behind, words) of each longest common stretch that ends here and doesn't go on with the next word."""
+        seen: set[tuple[int, int]] = set()
+        while state > 0 and length >= min_match:
+            for number, position in self.places[state] - seen:
+                words = self.tokens[number]
+                if position == len(words) or words[position] != following:
+                    yield number, position, length
+            seen |= self.places[state]
+            state = self.link[state]
+            length = self.length[state]
+
+    def _spans(self, number: int, matches: list[tuple[int, int, int]], coverage: float, gap: int):
+        """Spans of the best chains of (start in the text, place in the template, words).
 
-    @staticmethod
-    def _span(label: str, words: list[bytes], chain: list[tuple[int, int, int]], coverage: float):
-        share = sum(n for _, _, n in chain) / len(words)
-        if not chain or share < coverage:
-            return []
-        return [(label, chain[0][0], chain[-1][0] + chain[-1][2] - chain[0][0], min(1.0, share))]
+        A chain goes forward in both; of a match that overlaps the one before, only the rest counts. For every match the
+        best chain that ends with it is known, then chains are taken by the words they cover, largest first, where
+        no chain taken before lies.
+        """
+        label, words = self.sequences[number]
+        ordered = sorted(matches)
+        covered, begins = [n for _, _, n in ordered], [start for start, _, _ in ordered]
+        for x, (start, place, n) in enumerate(ordered):
+            for y in range(x - 1, -1, -1):
+                before, at, m = ordered[y]
+                # No match is longer than the template.
+                if before + len(words) + gap < start:
+                    break
+                over = max(0, before + m - start, at + m - place)
+                if at < place and before < start and over < n and start + over - before - m <= gap and covered[y] + n - over > covered[x]:
+                    covered[x], begins[x] = covered[y] + n - over, begins[y]
+        taken: list[tuple[int, int]] = []
+        for x in sorted(range(len(ordered)), key=lambda x: (-covered[x], begins[x], ordered[x])):
+            share = covered[x] / len(words)
+            if share < coverage:
+                break
+            begin, end = begins[x], ordered[x][0] + ordered[x][2]
+            if not any(begin < e and b < end for b, e in taken):
+                taken.append((begin, end))
+                yield label, begin, end - begin, min(1.0, share)
 
 
 SPANS = (
@@ -251,7 +272,7 @@ def scan_licenses(
     """Phrase places and template spans of whole texts, in word numbers from 0; one row per row of ``docs``.
 
     Stretches shorter than ``min_match`` words don't count towards a template; stretches of a chain are at
-    most ``gap`` words apart. A missing or empty text has no words and empty lists. Repeated rows and
+    most ``gap`` words apart, and a chain counts if it covers the share ``coverage`` of the template. A missing or empty text has no words and empty lists. Repeated rows and
     missing ids stay as they are; other columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates

@@ -198,6 +198,71 @@ def test_license_on_awkward_rows(spark):
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
 
 
+def brute_best(template: list[str], text: list[str], min_match: int, gap: int) -> int:
+    """The most words of the template that a chain of maximal common stretches covers."""
+    found = []
+    for i in range(len(text)):
+        for j in range(len(template)):
+            if text[i] == template[j] and not (i and j and text[i - 1] == template[j - 1]):
+                n = 0
+                while i + n < len(text) and j + n < len(template) and text[i + n] == template[j + n]:
+                    n += 1
+                if n >= min_match:
+                    found.append((i, j, n))
+
+    def best(last, total):
+        most = total
+        for i, j, n in found:
+            over = max(0, last[0] + last[2] - i, last[1] + last[2] - j)
+            if i > last[0] and j > last[1] and over < n and i + over - last[0] - last[2] <= gap:
+                most = max(most, best((i, j, n), total + n - over))
+        return most
+
+    return max((best(f, f[2]) for f in found), default=0)
+
+
+def scan_words(templates, text, min_match, coverage, gap, phrases=None):
+    automaton = licenses.Automaton({k: [" ".join(v)] for k, v in templates.items()}, phrases or {})
+    tokens = np.array([automaton.ids.get(w.encode(), -1) for w in text], dtype=np.int64)
+    return automaton.scan(tokens, min_match, coverage, gap)
+
+
+def test_spans_like_trying_all_chains():
+    rng = random.Random(8)
+    for round_ in range(400):
+        alphabet = "abcd"[: rng.randrange(2, 5)] if round_ % 2 else "abcdefghijkl"
+        templates = {label: [rng.choice(alphabet) for _ in range(rng.randrange(4, 10))] for label in ("one", "two")}
+        text = []
+        for _ in range(3):
+            part = rng.choice(list(templates.values()))
+            cut = rng.randrange(len(part))
+            text += part[cut : cut + rng.randrange(1, 9)] + [rng.choice(alphabet + "z") for _ in range(rng.randrange(3))]
+        for min_match, gap in ((2, 3), (3, 1)):
+            _, spans = scan_words(templates, text, min_match, 0.01, gap)
+            for label, words in templates.items():
+                most = max((s[3] for s in spans if s[0] == label), default=0.0)
+                assert most == min(1.0, brute_best(words, text, min_match, gap) / len(words))
+
+
+def test_spans_with_stray_and_repeated_matches():
+    letters = list("abcdefghijklmnop")
+    # A stretch that returns in the template, and one that stands elsewhere in it.
+    returning = [*letters[:8], *letters[2:4], *letters[8:12]]
+    text = [*letters[:8], "zz", *letters[:4], "zz", *letters[8:12]]
+    assert scan_words({"t": returning}, text, 2, 0.75, 12)[1]
+    template = letters[:12]
+    assert scan_words({"t": template}, [*letters[:8], "zz", *letters[:4], "zz", *letters[8:12]], 3, 0.99, 12)[1] == [("t", 0, 18, 1.0)]
+    strayed = [*letters[:10], *letters[2:6], *letters[10:16]]
+    assert scan_words({"t": letters}, strayed, 3, 0.99, 12)[1] == [("t", 0, 20, 1.0)]
+    twice = [*letters, "zz", *letters]
+    assert [s[1:3] for s in scan_words({"t": letters}, twice, 3, 0.9, 12)[1]] == [(0, 16), (17, 16)]
+
+
+def test_phrases_of_one_word():
+    places, _ = scan_words({"t": list("abcde")}, ["this", "is", "gpl", "code", "gpl"], 3, 0.75, 12, {"gpl": "gpl", "gpl code": "both"})
+    assert sorted(places) == [("both", 2), ("gpl", 2), ("gpl", 4)]
+
+
 # ---- pipeline and queries ----
 
 
