@@ -53,9 +53,13 @@ def classify_amount(text: Column) -> Column:
 def number_kind(text: Column) -> Column:
     """integer, decimal, non_numeric or NULL, without replacing number words."""
     t = strip(text)
-    number = to_number(text, None)
+    return kind_of(t, to_number(t, None, stripped=True))
+
+
+def kind_of(stripped: Column, number: Column) -> Column:
+    """The same from the stripped text and its number."""
     return (
-        F.when(F.coalesce(t == "", F.lit(True)), "NULL")
+        F.when(F.coalesce(stripped == "", F.lit(True)), "NULL")
         .when(number.isNull(), "non_numeric")
         .when(number % 1 == 0, "integer")
         .otherwise("decimal")

@@ -33,7 +33,8 @@ def to_number(
     if words:
         trimmed = replace_words(trimmed, words)
     number = F.regexp_extract(trimmed, NUMBER_PATTERN, 0).try_cast("double")
-    return F.get(F.filter(F.array(number), lambda x: F.abs(x) < float("inf")), F.lit(0))
+    # The remainder by infinity is the number itself, and NaN for an infinite one.
+    return F.nanvl(number % float("inf"), F.lit(None).cast("double"))
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

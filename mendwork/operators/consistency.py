@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mendwork.functions.datetimes import stamp_format_status
-from mendwork.functions.formats import number_kind
+from mendwork.functions.formats import kind_of
 from mendwork.functions.nulls import is_null_like
-from mendwork.functions.numeric import percent
+from mendwork.functions.numeric import percent, to_number
 from mendwork.functions.text import strip
 from mendwork.operators.keys import with_row_rank
 from mendwork.operators.report import spread
@@ -36,7 +36,10 @@ def value_profile(df: DataFrame, column: str) -> DataFrame:
 
 def number_kind_profile(df: DataFrame, column: str) -> DataFrame:
     """integer / decimal / non_numeric / NULL counts of a text column."""
-    return count_by(df, number_kind(F.col(column)), f"{column}_format_type")
+    text = strip(F.col(column))
+    # Parsed once: Spark keeps a projection whose columns are used several times.
+    staged = df.select(text.alias("_t"), to_number(text, None, stripped=True).alias("_x"))
+    return count_by(staged, kind_of(F.col("_t"), F.col("_x")), f"{column}_format_type")
 
 
 def samples_per_group(
