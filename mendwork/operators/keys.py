@@ -31,18 +31,18 @@ def with_row_rank(
     """
     order = [F.col(f"`{c}`") for c in order_by]
     ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
-    # The id holds the number of the task (of the range) above this many bits, and the row's place below.
-    placed = ranged.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    # An increasing id has the row's place in its task in the lower bits.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << TASK_BITS) - 1))
+    placed = ranged.sortWithinPartitions(*order).withColumns({"_slice": F.spark_partition_id(), "_at": place})
     rows = materialise(placed, "ranked")
-    slice_no, local = F.shiftright("_at", TASK_BITS), F.col("_at").bitwiseAND(F.lit((1 << TASK_BITS) - 1))
     # One row per range.
-    sizes = rows.groupBy(slice_no.alias("_slice")).agg(F.count("*").alias("_n"))
+    sizes = rows.groupBy("_slice").agg(F.count("*").alias("_n"))
     starts = sizes.select(
         "_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_start")
     )
-    numbered = rows.withColumn("_slice", slice_no).join(F.broadcast(starts), "_slice")
+    numbered = rows.join(F.broadcast(starts), "_slice")
     columns = [F.col(f"`{c}`") for c in df.columns]
-    return numbered.select(*columns, (F.col("_start") + local + 1).alias(name))
+    return numbered.select(*columns, (F.col("_start") + F.col("_at") + 1).alias(name))
 
 
 def add_surrogate_key(
