@@ -5,11 +5,14 @@ band a hash of ``rows`` minima; every pair of a band from the first and a band f
 key. So bands x bands tables of 2 x rows minima each cost only 2 x bands x rows minima per shingle: the
 square root of what independent tables need, for the same choice of candidates.
 
-Documents that share a key are candidates. Candidate groups are the connected components of "shares a key";
-inside a group, documents are dealt into blocks of bounded size, and every two blocks are compared in one
-task on full sets. There an exact prefix filter drops pairs that can't be alike, and pairs already known to
-be connected are not compared again, so pairs are never listed. What leaves a task are links that join
-parts; their components are the result. No link between documents that share a key is lost.
+Documents that share a key are candidates. Candidate groups are the connected components of "shares a key".
+A group that doesn't fit one task is parted first: alike sets share one of their rarest shingles (the exact
+prefix filter), so its parts are the components of "shares such a shingle", and pages of one template that
+are not alike fall apart without being compared. Inside a part, documents are dealt into blocks of bounded
+size, and every two blocks are compared in one task on full sets. There the prefix filter drops pairs that
+can't be alike, and pairs already known to be connected are not compared again, so pairs are never listed.
+What leaves a task are links that join parts; their components are the result. No link between documents
+that share a key is lost.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mendwork.session import materialise
@@ -186,6 +189,40 @@ def compare_blocks(doc_ids: list[int], texts: list[bytes], left: list[bool], hom
     return [(max(doc_ids[x], doc_ids[y]), min(doc_ids[x], doc_ids[y])) for x, y in found]
 
 
+def prefix_parts(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(id, component) of the documents that share a rare shingle with another one of their group.
+
+    ``texts`` has doc_id, text (bytes) and component. Shingles are counted within a group; a set's prefix are
+    its size - least overlap + 1 rarest ones. Two sets that are alike share a shingle of both prefixes, so
+    they are in one part; a document without a row here is alike with no other. A shingle that only one
+    text has is never moved again, and a shingle's texts are linked to its smallest id, not to each other.
+    """
+
+    def work(lists: dict[str, list]) -> dict[str, list]:
+        words = [raw.lower().split() for raw in lists["text"]]
+        return {
+            "doc_id": lists["doc_id"],
+            "component": lists["component"],
+            "class": [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words],
+            "shingles": [shingles(w, width).view(np.int64).tolist() for w in words],
+        }
+
+    sets = materialise(map_rows(texts, work, "doc_id long, component long, class binary, shingles array<long>"), "group-shingles")
+    own = ["doc_id", "component", "class"]
+    size = F.size("shingles")
+    prefix = size - F.ceil(F.lit(percent) * size / 100).cast("int") + 1
+    rows = sets.select(*own, size.alias("size"), prefix.alias("prefix"), F.explode("shingles").alias("shingle"))
+    counts = rows.groupBy("component", "shingle").agg(F.count("*").alias("n")).where("n > 1")
+    common_ones = rows.join(materialise(counts, "shingle-counts"), ["component", "shingle"])
+    ordered = common_ones.groupBy(*own, "size", "prefix").agg(F.array_sort(F.collect_set(F.struct("n", "shingle"))).alias("s"))
+    # The shingles that no other text has are the rarest and stand first in the prefix.
+    room = F.greatest(F.lit(0), F.col("prefix") - (F.col("size") - F.size("s")))
+    firsts = ordered.select("doc_id", "component", F.explode(F.slice("s", F.lit(1), room)).alias("f"))
+    firsts = materialise(firsts.select("doc_id", "component", "f.shingle"), "prefix-shingles")
+    hubs = firsts.groupBy("component", "shingle").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("top")).where("b != top").drop("top")
+    return components(firsts.join(hubs, ["component", "shingle"]).select(F.col("doc_id").alias("a"), "b").where("a != b").distinct())
+
+
 def near_groups(
     docs: DataFrame,
     width: int = WIDTH,
@@ -221,9 +258,20 @@ def near_groups(
     # Blocks are bounded by documents and by shingles, so a few very long texts do not fill a task.
     lengths = reps.join(known.groupBy("doc_id").agg(F.max("n_shingles").alias("n")), "doc_id").select(F.col("doc_id").alias("id"), "n")
     blocks = F.ceil(F.greatest(F.count("*") / block_documents, F.sum("n") / (block_documents * BLOCK_SHINGLES)))
-    sizes = groups.join(lengths, "id").groupBy("component").agg(blocks.cast("int").alias("blocks"))
-    dealt = groups.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    size_of = lambda parts: parts.join(lengths, "id").groupBy("component").agg(blocks.cast("int").alias("blocks"))
     texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), utf8(text_column).alias("text"))
+
+    # Only groups of several blocks are parted: one block is compared in one task either way.
+    sizes = materialise(size_of(groups), "group-sizes")
+    wide = materialise(groups.join(sizes.where("blocks > 1"), "component", "left_semi"), "wide-groups")
+    if not wide.isEmpty():
+        maybe, _ = split_by_ids(texts, "doc_id", wide.select("id"))
+        parts = prefix_parts(maybe.join(wide.withColumnRenamed("id", "doc_id"), "doc_id"), width, percent)
+        narrow = groups.join(sizes.where("blocks = 1"), "component", "left_semi")
+        groups = materialise(narrow.select("id", "component").union(parts.select("id", "component")), "parted-groups")
+        sizes = materialise(size_of(groups), "part-sizes")
+
+    dealt = groups.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     maybe, _ = split_by_ids(texts, "doc_id", groups.select("id"))
     placed = maybe.join(dealt.withColumnRenamed("id", "doc_id"), "doc_id")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -256,11 +304,36 @@ def recall(similarity: float, bands: int = BANDS, rows: int = ROWS) -> float:
     return (1 - (1 - math.pow(similarity, rows)) ** bands) ** 2
 
 
-def deduplicate(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is kept; same columns. Rows without an id stay."""
-    id_column = options.get("id_column", "doc_id")
-    groups = near_groups(docs, **options)
-    name = unused(docs, "gone")
-    gone = materialise(groups.where("not kept").select(F.col("doc_id").alias(name)).distinct(), "gone")
-    maybe, others = split_by_ids(docs, id_column, gone)
-    return others.unionByName(maybe.join(gone, F.col(f"`{id_column}`").cast("long") == F.col(name), "left_anti"))
+# Keys of rows without an id begin here, so that a row with an id is kept rather than its copy without one.
+NO_ID = 1 << 62
+
+
+def row_key(id_column: str, text_column: str) -> Column:
+    """A row's id; without one, a hash of its text from 2^62 on. Rows without an id and without words have none."""
+    text = F.col(f"`{text_column}`").cast("string")
+    hashed = F.xxhash64(text).bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(F.lit(NO_ID))
+    return F.coalesce(F.col(f"`{id_column}`").cast("long"), F.when(text.rlike("[^\\x20\\x09-\\x0D]"), hashed))
+
+
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose document is kept, each once; same columns.
+
+    Of the rows that repeat an id with the same text one stays (if other columns differ, the first one as
+    JSON); rows of one id with different texts stay or go together. Rows without an id are documents by
+    their text, and a near copy that has an id is kept in their place. Rows without an id and without words
+    all stay: nothing tells them apart.
+    """
+    own = unused(docs, "row_key")
+    keyed = docs.withColumn(own, row_key(id_column, text_column))
+    mark = unused(keyed, "marked")
+    groups = materialise(near_groups(keyed, id_column=own, text_column=text_column, **options), "near-groups")
+    known = groups.where("doc_id is not null").groupBy(F.col("doc_id").alias(mark))
+    marks = known.agg(F.bool_or("kept").alias("kept"), F.count("*").alias("rows")).where("not kept or rows > 1")
+    marks = materialise(marks, "gone-or-repeated")
+    maybe, others = split_by_ids(keyed, own, marks.select(mark))
+    same = F.col(own) == F.col(mark)
+    once = others.union(maybe.join(marks.select(mark), same, "left_anti"))
+    repeated = maybe.join(marks.where("kept").select(mark), same, "left_semi")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    first = repeated.groupBy(own, F.col(f"`{text_column}`")).agg(F.min_by(row, F.to_json(row)).alias(mark))
+    return once.drop(own).union(first.select(*(F.col(mark)[c].alias(c) for c in docs.columns)))

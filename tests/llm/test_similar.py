@@ -72,6 +72,47 @@ def test_groups_on_awkward_rows(spark):
     assert near_dedup.near_groups(frame(spark, [])).count() == 0
 
 
+def test_pages_of_one_template_are_parted(spark):
+    frame_words = text(1, EN, 140).split()
+    # Pages share a frame of 140 words (likeness about 0.5); every tenth page is a near copy of the one before.
+    texts = []
+    for i in range(400):
+        own = text(500 + i, [f"v{i}x{k}" for k in range(30)], 45)
+        texts.append(" ".join(frame_words) + " " + own if i % 10 else edits(texts[-1], i, 1) if texts else text(3, EN, 90))
+    docs = documents(spark, texts).repartition(4)
+    want = brute_groups(list(enumerate(texts)))
+    got = near_dedup.near_groups(docs, block_documents=32).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+    group = docs.selectExpr("doc_id", "cast(text as binary) as text", "0L as component")
+    parts = {r.id: r.component for r in near_dedup.prefix_parts(group, 5, 85).collect()}
+    alike = {i for i in want if sum(v == want[i] for v in want.values()) > 1}
+    # What is linked shares a part; parts hold fewer than 20 other pages per page, though all share the frame.
+    assert alike <= set(parts) and all(parts[i] == parts[want[i]] for i in alike)
+    sizes = [sum(v == c for v in parts.values()) for c in parts.values()]
+    assert max(sizes, default=0) < 20
+    assert near_dedup.prefix_parts(group.limit(0), 5, 85).count() == 0
+
+
+def test_deduplicate_repeats_and_rows_without_id(spark):
+    base, other = text(5, EN, 80), text(6, EN, 80)
+    rest = ("k", 1, "r", "f")
+    rows = [(5, base, "en", "s", 1, *rest)] * 5 + [(None, other, "en", "s", 1, *rest)] * 4
+    # A near copy without an id goes, the row with the id stays; one id with two texts keeps both.
+    rows += [(None, base, "en", "s", 1, *rest), (20, text(7, EN, 80), "en", "b", 1, *rest), (20, text(8, EN, 80), "en", "a", 1, *rest)]
+    # Repeated rows that differ elsewhere, rows without words, with an id and without.
+    rows += [(30, text(9, EN, 60), "en", s, 1, *rest) for s in ("z", "y", "z")]
+    rows += [(None, None, None, "s", None, *rest)] * 2 + [(None, " \t", None, "s", None, *rest)] * 2 + [(40, None, None, "s", None, *rest)] * 3
+    docs = frame(spark, rows).repartition(4)
+    kept = near_dedup.deduplicate(docs)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "", r.source) for r in kept.collect())
+    assert got == sorted(
+        [(5, base, "s"), (0, other, "s"), (20, text(7, EN, 80), "b"), (20, text(8, EN, 80), "a"), (30, text(9, EN, 60), "y"), (40, "", "s")]
+        + [(0, "", "s")] * 2 + [(0, " \t", "s")] * 2
+    )
+    assert near_dedup.deduplicate(frame(spark, [])).count() == 0
+
+
 def test_shingles_of_short_texts():
     assert len(near_dedup.shingles([])) == 0
     assert len(near_dedup.shingles([b"a"])) == 1
