@@ -16,20 +16,24 @@ import unicodedata
 import zlib
 from array import array
 from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .common import map_rows, utf8, worker_cache
+from .common import utf8, worker_cache
 
 common.ship(__name__)
 
 CAPACITY = 2048
 END_ID = 1
+# A shard has about so many documents, and so many bytes of text, at most.
 SHARD_DOCUMENTS = 2048
+SHARD_BYTES = 32 << 20
 MEMO_WORDS = 400_000
 SEPARATOR = "<|endoftext|>"
 
@@ -236,31 +240,41 @@ def pack(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     shard_documents: int = SHARD_DOCUMENTS,
+    shard_bytes: int = SHARD_BYTES,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """Pack whole documents into sequences; one row per piece.
 
     A document is its ids followed by ``end_id``; a missing or empty text is that id alone. Every row is
-    packed for itself, repeated rows too. A row without an id is packed under a null ``doc_id``. An
-    empty table gives no rows. Other columns are ignored.
+    packed for itself, repeated rows too; they are dealt over all shards. A row without an id is packed
+    under a null ``doc_id``. An empty table gives no rows. Other columns are ignored.
     """
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    shards = max(1, -(-docs.count() // shard_documents))
+    rows = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), utf8(text_column).alias("text"))
+    size = rows.agg(F.count("*").alias("documents"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    shards = max(1, -(-size.documents // shard_documents), -(-size.bytes // shard_bytes))
+
+    def encode(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    def encode(rows: dict[str, list]) -> dict[str, list]:
         end = np.array([end_id], dtype="<u2").tobytes()
-        return {"doc_id": rows["doc_id"], "shard": rows["shard"], "ids": [t + end for t in tokenize(rows["text"], path)]}
-
-    ids = map_rows(
-        docs.select(
-            F.col(f"`{id_column}`").cast("long").alias("doc_id"),
-            _shard(id_column, text_column, shards).alias("shard"),
-            utf8(text_column).alias("text"),
-        ),
-        encode,
-        "doc_id long, shard long, ids binary",
-    )
+        # How often a task has met a row; equal rows are told apart by it whatever their order.
+        met: Counter[int] = Counter()
+        for batch in batches:
+            for at in range(0, batch.num_rows, common.SLICE):
+                some = batch.slice(at, common.SLICE)
+                doc_id, text, row, task = (some.column(n) for n in ("doc_id", "text", "row", "task"))
+                shard = []
+                for key, number in zip(row.to_pylist(), task.to_pylist(), strict=True):
+                    shard.append(deal(key, number, met[key], shards))
+                    met[key] += 1
+                ids = [t + end for t in tokenize(text.to_pylist(), path)]
+                columns = [doc_id, pa.array(shard, pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "shard", "ids"])
+
+    keyed = rows.withColumn("row", F.xxhash64("doc_id", "text")).withColumn("task", F.spark_partition_id())
+    ids = keyed.mapInArrow(encode, "doc_id long, shard long, ids binary")
 
     def pack_shard(key, table):
         import pyarrow as pa
@@ -288,6 +302,9 @@ def pack(
     return ids.groupBy("shard").applyInArrow(pack_shard, PIECES)
 
 
-def _shard(id_column: str, text_column: str, shards: int) -> Column:
-    """The shard by a hash of the id and, as ids may be missing or repeated, of the text."""
-    return F.pmod(F.xxhash64(F.col(f"`{id_column}`"), F.col(f"`{text_column}`")), F.lit(shards))
+def deal(row: int, task: int, met: int, shards: int) -> int:
+    """The shard of a row: by its hash, its task, and how many equal rows the task has met before.
+
+    A repeated task has the same rows, so it deals the same rows to the same shards in whatever order.
+    """
+    return zlib.crc32(np.array([row, task, met], dtype="<i8").tobytes()) % shards

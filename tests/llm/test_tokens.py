@@ -100,6 +100,21 @@ def test_pack_on_awkward_rows(spark):
         assert end <= 2048
 
 
+def test_equal_rows_are_dealt_over_shards(spark):
+    rows = [(None, "the same text again", "en", "s", 1, "k", 1, "r", "f")] * 3000
+    for parts in (1, 7):
+        pieces = packing.pack(frame(spark, rows).repartition(parts), shard_documents=100).collect()
+        tokens = pieces[0].doc_tokens
+        assert sum(p.length for p in pieces) == 3000 * tokens
+        by_shard = defaultdict(int)
+        for p in pieces:
+            by_shard[p.sequence_id >> 32] += p.length / tokens
+        assert len(by_shard) == 30 and max(by_shard.values()) < 250
+    # Shards are bounded by bytes of text too.
+    pieces = packing.pack(frame(spark, rows), shard_bytes=6000).collect()
+    assert len({p.sequence_id >> 32 for p in pieces}) == 10
+
+
 def test_prefix_counts_are_the_librarys():
     import sentencepiece
 
