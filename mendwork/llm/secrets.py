@@ -1,7 +1,8 @@
 """Secret scan: candidate strings, and a random forest that removes false positives; no Python on rows.
 
 Candidates are runs of key-like characters with a digit, or with a capital inside a word; runs that begin like
-a provider's key; and whatever is assigned to a secret's name or stands in quotes after it. Each is described
+a provider's key; whatever is assigned to a secret's name or stands in quotes after it; and passwords inside
+URLs. Each is described
 by its length, its character classes and their transitions, how much of it dictionary words cover, the
 document's path, and the neighbouring words. A random forest learns from labelled findings.
 """
@@ -57,6 +58,11 @@ ASSIGNED = (
     r"|(?=\"[^\"\n]+\"|'[^'\n]+'|`[^`\n]+`)[\"'`]))"
     rf"(?:{'|'.join(_QUOTED.replace('Q', q) for q in ('"', "'", '`'))}|{_BARE})"
 )
+# A password inside a URL, and what leads to it (group 1).
+IN_URL = r"(://[^\s:@/\"'`<>]*+:)[^\s@/\"'`<>]++(?=@)"
+# Fixed value: the public shape of a UUID.
+UUID = r"(?i)^[0-9a-f]{8}-([0-9a-f]{4}-){3}[0-9a-f]{12}$"
+PATTERNS = (CANDIDATE, KNOWN, ASSIGNED, IN_URL)
 # Strings of this length are masked wherever they stand, shorter ones only after what stands before them.
 ANYWHERE = 16
 
@@ -83,7 +89,7 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.col(f"`{path_column}`").cast("string").alias("path"),
         text.alias("text"),
     )
-    has_any = lambda x: x.rlike(CANDIDATE) | x.rlike(KNOWN) | x.rlike(ASSIGNED)
+    has_any = lambda x: x.rlike(CANDIDATE) | x.rlike(KNOWN) | x.rlike(ASSIGNED) | x.rlike(IN_URL)
     lines = F.filter(
         F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("body"))),
         lambda x: has_any(x["body"]),
@@ -91,9 +97,9 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     by_line = rows.where(has_any(F.col("text"))).select("doc_id", "text_key", "path", F.explode(lines).alias("l"))
     # What lies between the matches of a pattern, and the matches: together they are the line.
     body, parts = F.col("l.body"), ["doc_id", "text_key", "path", F.col("l.line").alias("line")]
-    for kind, pattern in enumerate((CANDIDATE, KNOWN, ASSIGNED)):
+    for kind, pattern in enumerate(PATTERNS):
         found = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
-        leads = F.regexp_extract_all(body, F.lit(pattern), F.lit(1)) if pattern == ASSIGNED else F.transform(found, lambda x: F.lit(""))
+        leads = F.regexp_extract_all(body, F.lit(pattern), F.lit(1)) if pattern in (ASSIGNED, IN_URL) else F.transform(found, lambda x: F.lit(""))
         parts += [found.alias(f"found{kind}"), leads.alias(f"leads{kind}"), F.split(body, pattern, -1).alias(f"gaps{kind}")]
     pieces = [
         F.expr(
@@ -101,13 +107,13 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
             'start', aggregate(slice(gaps{k}, 1, i + 1), 0, (a, g) -> a + length(g)) + aggregate(slice(found{k}, 1, i), 0, (a, g) -> a + length(g))
                 + length(leads{k}[i]),
             'candidate', substring(c, length(leads{k}[i]) + 1),
-            'kind', {k},
-            'before', right(concat(gaps{k}[i], leads{k}[i]), {CONTEXT}),
+            'kind', -{k},
+            'before', concat(right(gaps{k}[i], {CONTEXT}), leads{k}[i]),
             'after', left(gaps{k}[i + 1], {CONTEXT})))"""
         )
-        for k in range(3)
+        for k in range(len(PATTERNS))
     ]
-    # The same string at the same place counts once, as it was found first.
+    # The same string at the same place counts once, with the lead of the later pattern: a name is whole there.
     every = by_line.select(*parts).select("doc_id", "text_key", "path", "line", F.array_sort(F.concat(*pieces)).alias("every"))
     first = F.expr("filter(every, (x, i) -> i = 0 or every[i - 1].start != x.start or every[i - 1].candidate != x.candidate)")
     found = every.select("doc_id", "text_key", "path", "line", F.explode(first).alias("p"))
@@ -126,7 +132,7 @@ def dictionary(docs: DataFrame, per_mille: int = DICTIONARY_PER_MILLE, text_colu
     maybe, others = split_by_ids(text, "hash", again)
     distinct = others.select("text").union(maybe.select("text").distinct())
     clean = F.col("text")
-    for pattern, instead in ((ASSIGNED, "$1 "), (KNOWN, " "), (CANDIDATE, " ")):
+    for pattern, instead in ((IN_URL, "$1 "), (ASSIGNED, "$1 "), (KNOWN, " "), (CANDIDATE, " ")):
         clean = F.regexp_replace(clean, pattern, instead)
     # The empty word stands for the text itself.
     words = F.array_distinct(F.filter(F.split(F.lower(clean), "[^a-z]+"), lambda x: F.length(x) >= 3))
@@ -160,6 +166,8 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     path = F.coalesce("path", F.lit(""))
     last = F.regexp_extract("before", r"([A-Za-z0-9_-]+)[^A-Za-z0-9_-]*$", 1)
     parts = name_parts(last)
+    # Shapes count like names: a password's place in a URL like a provider's key, a UUID like a harmless name.
+    in_url = one(F.col("before").rlike("://[^\\s:@/]*:$") & F.col("after").startswith("@"))
     described = found.select(
         "*",
         F.length(c).cast("double").alias("length"),
@@ -171,13 +179,13 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(F.split(c, ""))) / F.length(c)).alias("distinct"),
         turns.alias("turns"),
         one(c.rlike("^([0-9a-f]+|[0-9A-F]+)$")).alias("hexadecimal"),
-        one(c.rlike(FORMATS)).alias("format"),
+        F.greatest(one(c.rlike(FORMATS)), in_url).alias("format"),
         F.length(F.regexp_replace(path, "[^/]", "")).cast("double").alias("path_depth"),
         one(path.rlike("(?i)(test|example|sample|mock|fixture|doc)")).alias("path_example"),
         one(path.rlike(r"(?i)(\.env|conf|\.ini|\.ya?ml|\.json|\.pem|prop)")).alias("path_config"),
         one(last.rlike(SECRET_NAMES)).alias("named_before"),
         one(F.concat("before", "after").rlike(SECRET_NAMES)).alias("named_near"),
-        one(parts.rlike(HARMLESS_PARTS)).alias("harmless_before"),
+        F.greatest(one(parts.rlike(HARMLESS_PARTS)), one(c.rlike(UUID) & ~parts.rlike(SECRET_PARTS))).alias("harmless_before"),
         one(parts.rlike(SECRET_PARTS)).alias("secret_part"),
         one(F.col("before").rlike(r"(?:[:=]|=>)\s*[\"'`]?$")).alias("assigned"),
         one(F.col("before").rlike(r"[\"'`]$") & F.col("after").rlike(r"^[\"'`]")).alias("quoted"),
@@ -195,8 +203,8 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
 def rule_labels(described: DataFrame) -> DataFrame:
     """Findings labelled by rules that are nearly always right; what they don't decide has no label.
 
-    1: a provider's key shape, or a value assigned to a secret's name, that isn't made up. 0: made-up values, bare
-    words after a name, values of harmless names, digits only, and values without any sign of a secret that
+    1: a provider's key shape, a password in a URL, or a value assigned to a secret's name, that isn't made up. 0: made-up values, bare
+    words after a name, values of harmless names and UUIDs, digits only, and values without any sign of a secret that
     consist of words. A name that only holds a secret's name, like "author", decides for values with digits alone.
     A key shape and an assigned part like "token" win over a harmless part of the same name.
     """
