@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import io
 import os
 import random
 import re
@@ -42,6 +43,51 @@ def test_exact_search(spark, hot):
     assert got == brute_nearest(rows, 10, 5)
 
 
+def grouped_points(groups: int, each: int, dim: int) -> np.ndarray:
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(groups, dim)) * 6
+    return np.concatenate([c + rng.normal(size=(each, dim)) * 0.5 for c in centres])
+
+
+def test_whole_shards_are_left_out(spark):
+    rows = [(i, p.tolist()) for i, p in enumerate(grouped_points(12, 80, 6))]
+    vectors = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    index = vantage.build_index(vectors, shard_vectors=80)
+    shards = index.trees.count()
+    queries = vectors.where("vec_id % 20 = 0")
+    found = vantage.search(index, queries, 5).collect()
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in found} == brute_nearest(rows, 20, 5)
+    # With the distance to the fifth nearest known, most shards cannot hold anything closer.
+    fifth = {r.query_id: r.score for r in found if r["rank"] == 5}
+    bounds = spark.createDataFrame(list(fifth.items()), "query_id long, tau double")
+    met = vantage.other_shards(index, queries.withColumnRenamed("vec_id", "query_id").join(bounds, "query_id"))
+    assert shards >= 12 and met.count() < 0.4 * shards * len(fifth)
+
+
+def test_relaxed_search_of_shards(spark):
+    rows = [(i, p.tolist()) for i, p in enumerate(grouped_points(10, 60, 6))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {(q, i) for q, _, i, _ in brute_nearest(rows, 20, 5)}
+    found = vantage.nearest_neighbours(vectors, every=20, k=5, factor=1.5, shard_vectors=40).collect()
+    assert len({(r.query_id, r.vec_id) for r in found} & want) >= 0.9 * len(want)
+
+
+def test_a_third_of_the_vectors_equal_and_several_dimensions(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(150)] + [(i, rng.normal(size=3).tolist()) for i in range(150, 400)]
+    rows += [(i, rng.normal(size=2 + i % 3 * 2).tolist()) for i in range(400, 460)]
+    vectors = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    # A sample of 20 lacks dimensions; shards stay small although one point is a third of all.
+    index = vantage.build_index(vectors, shard_vectors=32, sample=20)
+    sizes = [len(np.load(io.BytesIO(r.tree))["ids"]) for r in index.trees.collect()]
+    assert sum(sizes) == len(rows) and max(sizes) < 64
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in vantage.search(index, vectors.where("vec_id % 10 = 0"), 6, query_block=4).collect()}
+    want = set()
+    for dim in {len(v) for _, v in rows}:
+        want |= brute_nearest([r for r in rows if len(r[1]) == dim], 10, 6)
+    assert got == want
+
+
 def test_relaxed_search_keeps_most():
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(30, 6)) * 5
