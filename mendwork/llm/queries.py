@@ -47,7 +47,7 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_simhash_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash.compare_with_next(table(spark, folder, "documents"))
+    return simhash.with_near_count(simhash.compare_with_next(table(spark, folder, "documents")))
 
 
 def op4_quality_score(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ A text's terms are its runs of ``width`` words (a shorter text is one term). Eac
 against every bit, with the weight 1 + ln(frequency); the signs of the sums are the fingerprint. For a
 radius of r a fingerprint is cut into blocks; two fingerprints within r differ in at most r blocks, so they
 agree in all others. Each table permutes one choice of agreeing blocks to the front and matches on them.
+``within_radius`` lists what it finds; ``count_within`` counts it without listing pairs.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ common.ship(__name__)
 BITS = 128
 WIDTH = 3
 MEMO_WORDS = 300_000
+RADIUS = 3
+BLOCK_ROWS = 2048
 
 # Odd multipliers from the fractional part of the golden ratio, one per position and hash word.
 STEP = 0x9E3779B97F4A7C15
@@ -193,14 +196,18 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 # ---- search within a radius ----
 
 
+def block_edges(bits: int, blocks: int) -> list[int]:
+    """Where the blocks begin, in whole hexadecimal digits, and the end of the last one."""
+    return [bits // 4 * i // blocks for i in range(blocks + 1)]
+
+
 def block_tables(column: Column, bits: int, radius: int, agreeing: int = 1) -> Column:
     """One key per table: the table's number and the ``agreeing`` blocks that it puts to the front.
 
     With radius + agreeing blocks, any two fingerprints within the radius share a key.
     """
-    digits, blocks = bits // 4, radius + agreeing
-    edges = [digits * i // blocks for i in range(blocks + 1)]
-    # Blocks start at whole hexadecimal digits.
+    blocks = radius + agreeing
+    edges = block_edges(bits, blocks)
     part = [F.substring(column, edges[i] + 1, edges[i + 1] - edges[i]) for i in range(blocks)]
     return F.array(
         *(
@@ -251,3 +258,88 @@ def within_radius(
         .where("query != doc_id")
         .select("query", "doc_id", "distance")
     )
+
+
+def table_masks(bits: int, radius: int, agreeing: int = 1) -> np.ndarray:
+    """For each block table the bits that it matches on, as bytes."""
+    blocks = radius + agreeing
+    edges = block_edges(bits, blocks)
+    masks = []
+    for choice in itertools.combinations(range(blocks), agreeing):
+        digits = np.zeros(bits // 4, dtype=np.uint8)
+        for i in choice:
+            digits[edges[i] : edges[i + 1]] = 15
+        masks.append(digits[::2] << 4 | digits[1::2])
+    return np.array(masks, dtype=np.uint8)
+
+
+def count_in_block(prints: np.ndarray, weights: np.ndarray, left: np.ndarray, home: bool, table: int, masks: np.ndarray, radius: int) -> np.ndarray:
+    """For each print (a row of bytes) the weight of the others within the radius that count in this table.
+
+    A pair counts in the first table whose blocks agree; ``left`` marks the prints of the first block and
+    ``home`` says whether pairs within a block count. A bounded number of prints at a time meets all.
+    """
+    words, masks = prints.view("<u8"), np.ascontiguousarray(masks).view("<u8")
+    out = np.zeros(len(words), dtype=np.int64)
+    for start in range(0, len(words), 256):
+        some = slice(start, min(start + 256, len(words)))
+        differ = [words[some, None, w] ^ words[None, :, w] for w in range(words.shape[1])]
+        near = sum(np.bitwise_count(d).astype(np.int16) for d in differ) <= radius
+        near &= (left[some, None] != left[None, :]) if not home else np.arange(len(words))[some, None] != np.arange(len(words))
+        x, y = np.nonzero(near)
+        if len(x):
+            apart = words[some][x] ^ words[y]
+            agree = np.array([((apart & m) == 0).all(axis=1) for m in masks[: table + 1]])
+            counts = agree[table] & ~agree[:table].any(axis=0)
+            np.add.at(out, x[counts] + start, weights[y[counts]])
+    return out
+
+
+def count_within(
+    prints: DataFrame, radius: int = RADIUS, bits: int = BITS, agreeing: int = 1, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(fingerprint, n_near): how many other rows' fingerprints are within the radius; exact, nothing is capped.
+
+    One row per fingerprint that has any; the rows with an equal fingerprint count too. ``prints`` has a column
+    ``fingerprint`` (hexadecimal, ``bits`` a multiple of 64); a null takes no part. An empty table gives no rows.
+
+    Equal fingerprints are one entry with a weight. Keys that a single fingerprint has are dropped before anything
+    moves. A key of many is dealt into blocks, of which any two meet in one task; keys of few share a task. Pairs
+    are counted where they are found, in the first table whose blocks agree.
+    """
+    weighed = prints.where("fingerprint is not null").groupBy("fingerprint").agg(F.count("*").alias("weight"))
+    weighed = materialise(weighed, "prints")
+    keyed = weighed.select("fingerprint", "weight", F.posexplode(block_tables(F.col("fingerprint"), bits, radius, agreeing)).alias("table", "block"))
+    keyed = keyed.withColumn("key", F.xxhash64("block")).drop("block")
+    shared = materialise(keyed.groupBy("table", "key").agg(F.count("*").alias("n")).where("n > 1"), "block-keys")
+    few = F.col("n") < block_rows
+    entries = shared.where(few).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    place = F.when(few, F.pmod("key", F.lit(max(1, -(-entries // block_rows))))).otherwise(F.col("key"))
+    split = F.when(few, 1).otherwise(F.ceil(F.col("n") / block_rows)).cast("int")
+    placed = keyed.join(shared.select("table", "key", few.alias("few"), place.alias("place"), split.alias("split")), ["table", "key"])
+    mine = F.pmod(F.xxhash64("fingerprint"), F.col("split")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("split") - 1))
+    met = placed.select("fingerprint", "weight", "table", "few", "place", mine.alias("mine"), other.alias("other"))
+    met = met.select(
+        "fingerprint", "weight", "mine", "table", "few", "place", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high")
+    )
+    masks = table_masks(bits, radius, agreeing)
+
+    def compare(key, rows):
+        names = rows.column("fingerprint").to_pylist()
+        values = np.frombuffer(bytes.fromhex("".join(names)), dtype=np.uint8).reshape(len(names), -1)
+        table, low, high = key[0].as_py(), key[3].as_py(), key[4].as_py()
+        left = rows.column("mine").to_numpy() == low
+        gained = count_in_block(values, rows.column("weight").to_numpy(), left, low == high, table, masks, radius)
+        at = np.nonzero(gained)[0]
+        return pa.table({"fingerprint": pa.array([names[i] for i in at], pa.string()), "n_near": pa.array(gained[at], pa.int64())})
+
+    gained = met.groupBy("table", "few", "place", "low", "high").applyInArrow(compare, "fingerprint string, n_near long")
+    copies = weighed.where("weight > 1").select("fingerprint", (F.col("weight") - 1).alias("n_near"))
+    return gained.union(copies).groupBy("fingerprint").agg(F.sum("n_near").alias("n_near"))
+
+
+def with_near_count(rows: DataFrame, radius: int = RADIUS, bits: int = BITS) -> DataFrame:
+    """``rows`` with a column n_near: other rows whose ``fingerprint`` is within the radius (0 for a null)."""
+    found = materialise(count_within(rows.select("fingerprint"), radius, bits), "near-counts")
+    return rows.join(found, "fingerprint", "left").select(*rows.columns, F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))

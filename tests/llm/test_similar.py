@@ -184,3 +184,25 @@ def test_search_within_radius(spark):
     for agreeing in (1, 2):
         found = simhash.within_radius(queries, prints, 3, 64, agreeing).collect()
         assert len(found) == len(want) and {tuple(r) for r in found} == want
+
+
+def test_counts_within_radius(spark):
+    rng = random.Random(8)
+    values = [rng.getrandbits(128) for _ in range(60)]
+    # One group of close prints that no block holds, small groups, copies, and the print of empty texts.
+    for v, n in [(values[0], 200), *((v, 4) for v in values[1:30])]:
+        for _ in range(n):
+            w = v
+            for _ in range(rng.randint(0, 4)):
+                w ^= 1 << rng.randrange(128)
+            values.append(w)
+    values += [values[0]] * 50 + [0] * 20
+    prints = spark.createDataFrame([(f"{v:032x}",) for v in values] + [(None,)], "fingerprint string").repartition(4)
+    for radius, agreeing, block_rows in ((3, 1, 2048), (3, 1, 16), (2, 2, 16), (0, 1, 16)):
+        want = {f"{v:032x}": sum((v ^ w).bit_count() <= radius for w in values) - 1 for v in values}
+        got = {r.fingerprint: r.n_near for r in simhash.count_within(prints, radius, 128, agreeing, block_rows).collect()}
+        assert got == {v: n for v, n in want.items() if n}
+    marked = simhash.with_near_count(prints).collect()
+    assert len(marked) == len(values) + 1 and all(r.n_near == 0 for r in marked if r.fingerprint is None)
+    assert simhash.count_within(prints.limit(0)).count() == 0
+    assert simhash.with_near_count(simhash.compare_with_next(frame(spark, []))).count() == 0
