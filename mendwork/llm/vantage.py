@@ -77,6 +77,10 @@ def build_tree(points: np.ndarray, leaf: int = LEAF, seed: int = 6) -> dict[str,
 
 def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Euclidean distances of all rows of ``left`` to all of ``right``, added up component by component."""
+    if len(left) * len(right) <= 1 << 11:
+        # The same sums in the same order, with few calls for few pairs.
+        squares = (left[:, None, :] - right[None, :, :]) ** 2
+        return np.sqrt(np.cumsum(squares, axis=2)[:, :, -1])
     total = np.zeros((len(left), len(right)))
     for i in range(left.shape[1]):
         total += (left[:, i, None] - right[None, :, i]) ** 2
@@ -112,11 +116,14 @@ def search_tree(
         far = distances(queries[active], points[rows])
         names = np.broadcast_to(ids[rows], far.shape)
         own = names == query_ids[active][:, None]
-        all_far = np.concatenate([best[active], np.where(own, np.inf, far)], axis=1)
-        all_ids = np.concatenate([found[active], np.where(own, np.iinfo(np.int64).max, names)], axis=1)
+        # Only queries that gain something sort again.
+        gains = (far <= np.minimum(best[active, -1], tau[active])[:, None]).any(axis=1)
+        some = active[gains]
+        all_far = np.concatenate([best[some], np.where(own, np.inf, far)[gains]], axis=1)
+        all_ids = np.concatenate([found[some], np.where(own, np.iinfo(np.int64).max, names)[gains]], axis=1)
         by = np.lexsort((all_ids, all_far), axis=1)[:, :k]
-        best[active] = np.take_along_axis(all_far, by, axis=1)
-        found[active] = np.take_along_axis(all_ids, by, axis=1)
+        best[some] = np.take_along_axis(all_far, by, axis=1)
+        found[some] = np.take_along_axis(all_ids, by, axis=1)
         return far
 
     def visit(number: int, active: np.ndarray) -> None:
