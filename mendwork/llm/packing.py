@@ -35,6 +35,9 @@ END_ID = 1
 SHARD_DOCUMENTS = 2048
 SHARD_BYTES = 32 << 20
 MEMO_WORDS = 400_000
+# Bytes the word memo may hold: its words, their ids and what a dictionary entry costs besides.
+MEMO_BYTES = 16 << 20
+ENTRY_BYTES = 100
 SEPARATOR = "<|endoftext|>"
 
 PIECES = (
@@ -109,12 +112,13 @@ def letters_only(word: bytes) -> bool:
 def tokenize(texts: list[bytes], path: str) -> list[bytes]:
     """Each text's ids as little-endian unsigned 16-bit numbers.
 
-    Words are kept in a memo of bounded size; letters A to Z are lower-cased first (the library does the
-    same) unless the text may hold a special token.
+    Words are kept in a memo bounded in words and in bytes; letters A to Z are lower-cased first (the
+    library does the same) unless the text may hold a special token.
     """
-    memo = worker_cache("packing-words")
-    if len(memo) > MEMO_WORDS:
+    memo, held = worker_cache("packing-words"), worker_cache("packing-words-bytes")
+    if len(memo) > MEMO_WORDS or held.get("bytes", 0) > MEMO_BYTES:
         memo.clear()
+        held["bytes"] = 0
     out = []
     for text in texts:
         # Spaces beyond ASCII part words as well, but a word may hold them: the library sees it whole.
@@ -126,6 +130,7 @@ def tokenize(texts: list[bytes], path: str) -> list[bytes]:
             encode_words([w for w in alone if w not in memo], path, memo)
             for w in ended:
                 memo[w] = memo[w[:-1]] + memo[w[-1:]]
+            held["bytes"] = held.get("bytes", 0) + sum(len(w) + len(memo[w]) + ENTRY_BYTES for w in missing | alone)
         out.append(b"".join([memo[w] for w in words]))
     return out
 

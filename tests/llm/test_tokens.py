@@ -35,6 +35,23 @@ def test_word_ids_are_the_librarys():
     assert got == want
 
 
+def test_word_memo_is_bounded_in_bytes(monkeypatch):
+    from mendwork.llm.common import worker_cache
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "MEMO_BYTES", 4000)
+    worker_cache("packing-words").clear()
+    worker_cache("packing-words-bytes").clear()
+    texts = [" ".join(f"word{i}x{j}" * 5 for j in range(20)).encode() for i in range(40)]
+    fresh = packing.tokenize(texts, path)
+    for text in texts:
+        packing.tokenize([text], path)
+        held = sum(len(w) + len(i) for w, i in worker_cache("packing-words").items())
+        assert held <= 4000 + len(text) * 3
+    worker_cache("packing-words").clear()
+    assert packing.tokenize(texts, path) == fresh
+
+
 def test_window_is_the_fullest():
     rng = random.Random(3)
     for _ in range(200):
